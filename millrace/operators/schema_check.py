@@ -101,15 +101,13 @@ def payload_drift(docs: DataFrame, payload: str, contract: dict[str, str]) -> Da
     keys are exploded, and counted per map task before they are shuffled.
     """
     counters, rows = [], []
-    value = F.col(payload)
+    one_pass = "struct<" + ",".join(f"`{name}`:variant" for name in contract) + ">"
+    keyed = docs.select(F.try_variant_get(payload, "$", one_pass).alias("keys"))
     for name, kind in contract.items():
-        path = f"$.{name}"
-        raw = F.try_variant_get(value, path, "variant")
+        raw = F.col("keys")[name]
         absent = raw.isNull()
         wrong = (
-            raw.isNotNull()
-            & ~F.is_variant_null(raw)
-            & F.try_variant_get(value, path, kind).isNull()
+            raw.isNotNull() & ~F.is_variant_null(raw) & F.try_variant_get(raw, "$", kind).isNull()
         )
         for finding, test in (("missing", absent), ("mismatch", wrong)):
             counter = f"{finding}_{name}"
@@ -121,8 +119,8 @@ def payload_drift(docs: DataFrame, payload: str, contract: dict[str, str]) -> Da
                     F.col(counter).alias("payloads"),
                 )
             )
-    known = docs.agg(*counters).select(F.inline(F.array(*rows))).where(F.col("payloads") > 0)
-    keys = F.map_keys(value.try_cast("map<string,variant>"))
+    known = keyed.agg(*counters).select(F.inline(F.array(*rows))).where(F.col("payloads") > 0)
+    keys = F.map_keys(F.col(payload).try_cast("map<string,variant>"))
     extra = F.array_except(keys, F.array(*[F.lit(n) for n in contract]))
     unexpected = (
         docs.select(F.explode(extra).alias("column_name"))
