@@ -58,6 +58,19 @@ def alert_line() -> Column:
     )
 
 
+def join_lines(failures: DataFrame, group: list[str]) -> DataFrame:
+    """The alert lines of each group as one text, newest first. The caller chooses a
+    group that is bounded (a part, a block of log ids): its lines meet in one task."""
+    entry = F.struct(
+        (-F.unix_micros(F.col("run_timestamp").cast("timestamp"))).alias("age"),
+        (-F.col("log_id")).alias("tie"),
+        alert_line().alias("line"),
+    )
+    ordered = F.array_sort(F.collect_list(entry))
+    lines = F.array_join(F.transform(ordered, lambda e: e["line"]), "\n")
+    return failures.groupBy(*group).agg(lines.alias("lines"))
+
+
 def alert_messages(
     failures: DataFrame, title: str = DEFAULT_TITLE, lines_per_part: int = LINES_PER_PART
 ) -> DataFrame:
@@ -68,34 +81,16 @@ def alert_messages(
     ever joins more than about one part. The total count is in every subject.
     """
     total = failures.agg(F.count(F.lit(1))).scalar()
-    parts = F.ceil(total / F.lit(lines_per_part)).cast("bigint")
-    dealt = failures.select(
-        F.pmod(F.xxhash64("log_id"), F.greatest(parts, F.lit(1))).alias("part"),
-        total.alias("failures"),
-        F.struct(
-            (-F.unix_micros(F.col("run_timestamp").cast("timestamp"))).alias("age"),
-            (-F.col("log_id")).alias("tie"),
-            alert_line().alias("line"),
-        ).alias("entry"),
-    )
-    lines = F.array_join(
-        F.transform(F.array_sort(F.collect_list("entry")), lambda e: e["line"]), "\n"
+    parts = F.greatest(F.ceil(total / F.lit(lines_per_part)).cast("bigint"), F.lit(1))
+    dealt = failures.withColumns(
+        {"part": F.pmod(F.xxhash64("log_id"), parts), "failures": total}
     )
-    return (
-        dealt.groupBy("part")
-        .agg(F.max("failures").alias("failures"), lines.alias("lines"))
-        .select(
-            "part",
-            "failures",
-            F.concat(
-                F.lit(f"🔴 {title} — "), F.col("failures").cast("string"), F.lit(" FAIL(s) detected")
-            ).alias("subject"),
-            F.concat(
-                F.col("failures").cast("string"),
-                F.lit(" critical failure(s):\n\n"),
-                F.col("lines"),
-            ).alias("message"),
-        )
+    count = F.col("failures").cast("string")
+    return join_lines(dealt, ["part", "failures"]).select(
+        "part",
+        "failures",
+        F.concat(F.lit(f"🔴 {title} — "), count, F.lit(" FAIL(s) detected")).alias("subject"),
+        F.concat(count, F.lit(" critical failure(s):\n\n"), F.col("lines")).alias("message"),
     )
 
 
