@@ -31,32 +31,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def trips(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
     """The 18 trip columns; ``lineage`` adds the file and row each trip came from."""
     lines = table(spark, sf_dir, "lineitem")
-    picked_up = F.to_date("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0),
-        F.col("l_partkey") % 24,
-        F.col("l_suppkey") % 60,
-        (F.col("l_orderkey") % 60).cast("decimal(18,6)"),
+    seconds = (
+        (F.col("l_partkey") % 24) * 3600 + (F.col("l_suppkey") % 60) * 60 + F.col("l_orderkey") % 60
     )
+    day = F.to_date("l_shipdate").cast("timestamp_ntz")
+    picked_up = F.timestamp_add("SECOND", seconds, day)
+    dropped_off = F.timestamp_add("SECOND", seconds + 20 * 60, day)
     price = "CAST(l_extendedprice AS DECIMAL(18,2))"
     columns = [
         F.when(F.col("l_orderkey") % 97 != 0, picked_up).alias("pickup_datetime"),
-        F.when(
-            F.col("l_orderkey") % 101 != 0, picked_up + F.expr("INTERVAL 20 MINUTE")
-        ).alias("dropoff_datetime"),
+        F.when(F.col("l_orderkey") % 101 != 0, dropped_off).alias("dropoff_datetime"),
         F.expr("IF(l_partkey % 89 = 0, NULL, CAST(l_linenumber AS BIGINT)) AS passenger_count"),
         F.expr("CAST(l_quantity AS DECIMAL(18,2)) AS trip_distance"),
         F.expr(
             "CASE WHEN l_partkey % 251 = 0 THEN 200D WHEN l_partkey % 83 = 0 THEN NULL "
-            "ELSE CAST(-75 + (l_partkey % 200) * 0.01 AS DOUBLE) END AS pickup_longitude"
+            "ELSE (l_partkey % 200 - 7500) / 100D END AS pickup_longitude"
         ),
         F.expr(
-            "CASE WHEN l_suppkey % 53 = 0 THEN 95D "
-            "ELSE CAST(40 + (l_suppkey % 100) * 0.01 AS DOUBLE) END AS pickup_latitude"
+            "IF(l_suppkey % 53 = 0, 95D, (l_suppkey % 100 + 4000) / 100D) AS pickup_latitude"
         ),
         F.expr("CAST(l_linenumber % 6 AS STRING) AS rate_code"),
         F.expr("IF(l_linestatus = 'F', 'Y', 'N') AS store_and_fwd_flag"),
-        F.expr("CAST(-75 + (l_orderkey % 200) * 0.01 AS DOUBLE) AS dropoff_longitude"),
-        F.expr("CAST(40 + (l_orderkey % 100) * 0.01 AS DOUBLE) AS dropoff_latitude"),
+        F.expr("(l_orderkey % 200 - 7500) / 100D AS dropoff_longitude"),
+        F.expr("(l_orderkey % 100 + 4000) / 100D AS dropoff_latitude"),
         F.expr(
             "CASE l_returnflag WHEN 'A' THEN 'CARD' WHEN 'N' THEN 'CASH' ELSE 'DISPUTE' END "
             "AS payment_type"

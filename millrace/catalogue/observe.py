@@ -61,7 +61,7 @@ def dq_gold_matrix(spark, sf_dir):
     return observability.gold_matrix(i.metrics(spark, sf_dir), i.RESULTS_CLOCK)
 
 
-_TREND = f"""SELECT strftime(run_timestamp, '%Y-%m-%d %H:00') AS time_bucket, table_name,
+TREND = f"""SELECT strftime(run_timestamp, '%Y-%m-%d %H:00') AS time_bucket, table_name,
  metric_name, count(*) AS total_checks, {PASSED} AS pass_count, {FAILED} AS fail_count,
  {i.hu(i.share(FAILED, 'count(*)'), 2)} AS avg_fail_percent"""
 
@@ -70,7 +70,7 @@ _TREND = f"""SELECT strftime(run_timestamp, '%Y-%m-%d %H:00') AS time_bucket, ta
     "dq_trend_7d",
     i.over(
         "metrics",
-        f"{_TREND} FROM metrics WHERE {RECENT} GROUP BY time_bucket, table_name, metric_name",
+        f"{TREND} FROM metrics WHERE {RECENT} GROUP BY time_bucket, table_name, metric_name",
     ),
 )
 def dq_trend_7d(spark, sf_dir):

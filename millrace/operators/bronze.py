@@ -15,13 +15,14 @@ from ..schemas import BRONZE, READINGS, TRIP_CONTRACT, conform
 def with_row_numbers(scan: DataFrame) -> DataFrame:
     """1-based row number inside each file, without sorting any file.
 
-    ``scan`` comes from :mod:`millrace.sources.landing`: it has ``file_path``,
-    ``block_start`` and ``scan_position`` (an id that rises inside a file block).
-    A first pass keeps one row per block (first id, row count); running sums over
+    ``scan`` comes straight from :mod:`millrace.sources.landing` (no shuffle between):
+    it has ``file_path`` and ``block_start``, and its rows are numbered as they leave the
+    scan, so the numbers rise by one inside a file block. A first pass keeps one row per block (first id, row count); running sums over
     the blocks of a file give every block its offset. The blocks are joined back on
     (file, block): at most one block of rows per key, so a huge file is no hot spot,
     and Spark broadcasts the block list only if it is under its size limit.
     """
+    scan = scan.withColumn("scan_position", F.monotonically_increasing_id())
     blocks = scan.groupBy("file_path", "block_start").agg(
         F.min("scan_position").alias("first_position"), F.count(F.lit(1)).alias("block_rows")
     )

@@ -23,6 +23,7 @@ from ..functions.bands import severity as severity_of
 from ..functions.text import json_object
 from ..functions.times import clock
 from ..schemas import AUDIT, METRICS, VIOLATIONS, conform
+from ..session import one_row
 
 
 @dataclass(frozen=True)
@@ -128,10 +129,12 @@ class TableChecks:
         violations do not scan for them again. Exactly one row of counters passes
         through the driver, whatever the size of the table."""
         row = self.counts.collect()[0]
-        spark = self.table.sparkSession
+        values = {
+            f.name: F.lit(row[f.name]).cast(f.dataType) for f in self.counts.schema.fields
+        }
         twin = TableChecks(self.table, self.checks, self.run_id, self.as_of)
         twin._id = self._id
-        twin.__dict__["counts"] = spark.createDataFrame([row], self.counts.schema)
+        twin.__dict__["counts"] = one_row(self.table.sparkSession, **values)
         return twin
 
     def _rows(self, structs: list[Column]) -> DataFrame:

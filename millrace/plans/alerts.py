@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.times import clock, within_minutes
+from ..session import one_row
 
 LINES_PER_PART = 500
 DEFAULT_TITLE = "DQ ALERT"
@@ -100,9 +101,7 @@ def publish_message(
     """The fixed success text, one line per published target."""
     done = "\n".join(f"✅ {t} — rows written" for t in targets)
     text = f"KPI publish complete.\n\n{done}\n\nTime: {as_of}"
-    return spark.createDataFrame(
-        [("✅ KPIs published", text)], "subject string, message string"
-    )
+    return one_row(spark, subject=F.lit("✅ KPIs published"), message=F.lit(text))
 
 
 def alert_or_publish(

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
 
@@ -17,6 +17,7 @@ def local_session(cpus: int | str = "*", app: str = "millrace", **conf: str) ->
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus if cpus != "*" else 8))
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
@@ -43,6 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _fallback[app]
 
 
+def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
+    """A frame of one row of literals that the optimizer can fold away."""
+    return spark.sql("SELECT 1").select(*[c.alias(n) for n, c in columns.items()])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_folder(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,8 +1,8 @@
 """Landed files as semi-structured rows, batch and streaming.
 
-Every scan gives ``raw_data`` (variant), ``file_name``, ``file_path``,
-``block_start`` and ``scan_position``; :func:`millrace.operators.bronze.bronze_rows`
-turns the last three into a row number.
+Every scan gives ``raw_data`` (variant), ``file_name``, ``file_path`` and
+``block_start``; :func:`millrace.operators.bronze.bronze_rows` turns the last two and
+the order inside a block into a row number.
 """
 
 from __future__ import annotations
@@ -28,7 +28,6 @@ def _with_lineage(scan: DataFrame) -> DataFrame:
         name.alias("file_name"),
         path.alias("file_path"),
         block.alias("block_start"),
-        F.monotonically_increasing_id().alias("scan_position"),
     )
 
 
@@ -66,7 +65,6 @@ def scan_csv(
         name.alias("file_name"),
         file_path.alias("file_path"),
         block.alias("block_start"),
-        F.monotonically_increasing_id().alias("scan_position"),
     )
 
 
@@ -104,7 +102,7 @@ def scan_json(
         name.alias("file_name"),
         file_path.alias("file_path"),
         block.alias("block_start"),
-    ).withColumn("scan_position", F.monotonically_increasing_id())
+    )
 
 
 def scan_documents(

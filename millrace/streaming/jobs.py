@@ -96,8 +96,11 @@ def stream_to_silver(
         typed_view = typed_trips(batch)
         rows = silver_shape(silver_filter(typed_view) if filtered else typed_view)
         loaded = F.localtimestamp() if as_of is None else F.lit(str(as_of)).cast("timestamp_ntz")
-        rows = rows.withColumn("__silver_loaded_ts", loaded)
-        merge_insert_only(rows, silver_path, load_id, MERGE_KEY, spread_by=LINEAGE)
+        rows = rows.withColumn("__silver_loaded_ts", loaded).persist()
+        try:  # the merge reads its source for the key range, frequent keys and the join
+            merge_insert_only(rows, silver_path, load_id, MERGE_KEY, spread_by=LINEAGE)
+        finally:
+            rows.unpersist()
         if then is not None:
             then(batch, load_id)
 
