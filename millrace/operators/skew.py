@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import any_null
 
-FREQUENT_KEYS = 1000
+FREQUENT_KEYS = 100_000  # most rows a frequent-key list may have, so it can be broadcast
+ROWS_PER_LANE = 1_000_000  # rows of one key that one task may hold
 
 
 def lane_count(df: DataFrame) -> int:
-    """As many lanes as shuffle partitions: a key that holds a share of all rows is
-    then spread as widely as the rest of the table."""
-    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Four lanes per shuffle partition: a key that holds a share of all rows is then
+    spread about as evenly as the rest of the table."""
+    return 4 * max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def spreadable(df: DataFrame) -> list[str]:
@@ -27,24 +28,32 @@ def spreadable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if "variant" not in f.dataType.simpleString()]
 
 
-def lane_of(columns: Sequence[str], lanes: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(lanes)).cast("int")
+def lane_of(columns: Sequence[str], lanes: int | Column) -> Column:
+    lanes = F.lit(lanes) if isinstance(lanes, int) else lanes
+    return F.pmod(F.xxhash64(*columns), lanes).cast("int")
 
 
-def frequent_keys(df: DataFrame, key: Sequence[str], limit: int = FREQUENT_KEYS) -> DataFrame:
-    """The most frequent non-null keys, at most ``limit`` rows.
+def frequent_keys(
+    df: DataFrame,
+    key: Sequence[str],
+    rows_per_lane: int = ROWS_PER_LANE,
+    limit: int = FREQUENT_KEYS,
+) -> DataFrame:
+    """Non-null keys with more than ``rows_per_lane`` rows, and their ``__lanes``.
 
-    The bound is a proof, not a cut of the result: a key that is not listed has at
-    most 1/(limit+1) of all rows, so it needs no spreading and takes the plain path.
-    Ties are ordered by the key, so that two evaluations give the same list.
+    At most ``limit`` rows, the most frequent first, which bounds what is broadcast. It
+    is no cut of the result: with N rows in all, a key that is not listed has at most
+    max(rows_per_lane, N / limit) rows and takes the plain path. Ties are ordered by the
+    key, so that two evaluations give the same list.
     """
     return (
         df.where(~any_null(key))
         .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("__n"))
+        .where(F.col("__n") > rows_per_lane)
         .orderBy(F.col("__n").desc(), *key)
         .limit(limit)
-        .select(*key)
+        .select(*key, F.ceil(F.col("__n") / rows_per_lane).cast("int").alias("__lanes"))
     )
 
 
@@ -54,38 +63,31 @@ def left_anti_spread(
     key: Sequence[str],
     *,
     spread_by: Sequence[str] | None = None,
-    frequent: int = FREQUENT_KEYS,
+    rows_per_lane: int = ROWS_PER_LANE,
 ) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right`` (a NULL key never matches).
 
     Hot keys: the right side is reduced to distinct keys before the join. Rows of
-    ``left`` with a frequent key are dealt over lanes and the few frequent keys of
-    the right side are repeated once per lane. Rows with a NULL key are dealt over
-    lanes of their own, which nothing on the right side can match.
+    ``left`` with a frequent key are dealt over as many lanes as their number asks for,
+    and those keys of the right side are repeated once per lane (no more than one row
+    per ``rows_per_lane`` rows of ``left``). Rows with a NULL key are dealt over lanes
+    of their own, which nothing on the right side can match.
     """
-    key = list(key)
-    lanes = lane_count(left)
-    lane = lane_of(list(spread_by or spreadable(left)), lanes)
-    hot = F.broadcast(  # at most `frequent` rows, see frequent_keys
-        frequent_keys(left, key, frequent).withColumn("__hot", F.lit(True))
-    )
+    key, spread = list(key), list(spread_by or spreadable(left))
+    hot = F.broadcast(frequent_keys(left, key, rows_per_lane))
     dealt = left.join(hot, key, "left").withColumn(
         "__lane",
-        F.when(any_null(key), -1 - lane).when(F.col("__hot"), lane).otherwise(0),
+        F.when(any_null(key), -1 - lane_of(spread, lane_count(left))).otherwise(
+            lane_of(spread, F.coalesce(F.col("__lanes"), F.lit(1)))
+        ),
     )
+    last_lane = F.coalesce(F.col("__lanes"), F.lit(1)) - 1
     wanted = (
         right.select(*key)
         .where(~any_null(key))
         .distinct()
         .join(hot, key, "left")
-        .select(
-            *key,
-            F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(lanes - 1))).otherwise(
-                    F.array(F.lit(0))
-                )
-            ).alias("__lane"),
-        )
+        .select(*key, F.explode(F.sequence(F.lit(0), last_lane)).alias("__lane"))
     )
     return dealt.join(wanted, [*key, "__lane"], "left_anti").select(*left.columns)
 

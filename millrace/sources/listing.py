@@ -10,19 +10,30 @@ from ..operators.skew import first_per_key
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Key, size and time of the files below ``path``. The content column is never
-    selected, so no file is opened."""
+    selected, so no file is opened.
+
+    Spark's readers leave files of size 0 out. Their names come from the file index that
+    the session holds for the folder anyway; they have no time.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(path)
     )
-    return files.select(
+    listed = files.select(
         F.col("path").alias("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
-        (F.col("length") == 0).alias("is_empty"),
     )
+    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "name string")
+    decoded = F.url_decode(F.replace(F.col("name"), F.lit("+"), F.lit("%2B")))
+    known = names.select(F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/").alias("key"))
+    seen = listed.select(F.regexp_replace("key", "^([a-z0-9]+):/+", "$1:/").alias("key"))
+    empty = known.join(seen, "key", "left_anti").select(
+        "key", F.lit(0).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("last_modified")
+    )
+    return listed.unionByName(empty).withColumn("is_empty", F.col("size") == 0)
 
 
 def latest_files(files: DataFrame, key: str, prefix: Column, keep: int = 3) -> DataFrame:
