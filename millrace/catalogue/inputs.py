@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import air_category
 from ..functions.times import clock
 from ..operators.silver import silver_filter
-from ..schemas import TRIP_NAMES
+from ..schemas import TRIP_CONTRACT, TRIP_NAMES
 from ..session import scratch_path
 
 READINGS_CLOCK = "2024-02-10 00:00:00"
@@ -20,6 +20,11 @@ RESULTS_CLOCK = "2024-01-30 12:00:00"
 RESULTS_DAY = "2024-01-30"
 FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"  # an earlier load holds trips before this time
 READINGS_PER_DOCUMENT = 500
+SMALL_TABLE_BYTES = 1 << 30
+_TRIP_TABLE = (
+    ", ".join(f"{name} {kind}" for name, kind in TRIP_CONTRACT.items())
+    + ", __source_file string, __row_num bigint"
+)
 
 # --- DataFrames --------------------------------------------------------------
 
@@ -29,8 +34,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def trips(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
-    """The 18 trip columns; ``lineage`` adds the file and row each trip came from."""
-    lines = table(spark, sf_dir, "lineitem")
+    """The 18 trip columns; ``lineage`` adds the file and row each trip came from.
+
+    Read from a typed table that Spark derives from ``lineitem`` once per application,
+    as a trip table would be kept: filters and column lists then reach a parquet scan.
+    """
+    rows = spark.read.schema(_TRIP_TABLE).parquet(landed(spark, sf_dir, "trip-table"))
+    return rows if lineage else rows.select(*TRIP_NAMES)
+
+
+def trip_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips out of ``lineitem``. A small table is dealt over all cores first: its file
+    may be a single row group, which one task would have to evaluate alone."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "*",
+        F.col("_metadata.file_name").alias("__source_file"),
+        F.col("_metadata.row_index").alias("__row_num"),
+    )
+    if _stored(spark, f"{sf_dir}/lineitem.parquet")[0] < SMALL_TABLE_BYTES:
+        lines = lines.repartition(spark.sparkContext.defaultParallelism)
     seconds = (
         (F.col("l_partkey") % 24) * 3600 + (F.col("l_suppkey") % 60) * 60 + F.col("l_orderkey") % 60
     )
@@ -69,12 +91,7 @@ def trips(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
         F.expr("CAST(0.30 AS DECIMAL(18,2)) AS improvement_surcharge"),
         F.expr(f"CAST({price} * 0.006 AS DECIMAL(18,2)) AS total_amount"),
     ]
-    if lineage:
-        columns += [
-            F.col("_metadata.file_name").alias("__source_file"),
-            F.col("_metadata.row_index").alias("__row_num"),
-        ]
-    return lines.select(*columns)
+    return lines.select(*columns, "__source_file", "__row_num")
 
 
 def silver(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
@@ -168,12 +185,23 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- landed files, written once per application and input folder ---------------
 
-_landed: dict[tuple[str, str, str], str] = {}
+_landed: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Bytes and modification time of a file or folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (
+        fs.getContentSummary(place).getLength(),
+        fs.getFileStatus(place).getModificationTime(),
+    )
 
 
 def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """The path of landed files of one kind, derived from the tables by Spark."""
-    spot = (spark.sparkContext.applicationId, sf_dir, kind)
+    origin = _stored(spark, f"{sf_dir}/{_ORIGIN[kind]}.parquet")
+    spot = (spark.sparkContext.applicationId, sf_dir, kind, origin)
     if spot not in _landed:
         path = scratch_path(spark, f"landing-{kind}")
         _WRITERS[kind](spark, sf_dir, path)
@@ -205,7 +233,19 @@ def _write_metrics(spark: SparkSession, sf_dir: str, path: str) -> None:
     metrics(spark, sf_dir).write.parquet(path)
 
 
+def _write_trip_table(spark: SparkSession, sf_dir: str, path: str) -> None:
+    trip_bridge(spark, sf_dir).write.parquet(path)
+
+
+_ORIGIN = {
+    "trip-table": "lineitem",
+    "trips": "lineitem",
+    "reading-arrays": "events",
+    "documents": "events",
+    "metrics": "events",
+}
 _WRITERS = {
+    "trip-table": _write_trip_table,
     "trips": _write_trip_csv,
     "reading-arrays": _write_reading_arrays,
     "documents": _write_documents,

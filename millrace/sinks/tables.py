@@ -77,26 +77,40 @@ def merge_insert_only(
     *,
     spread_by: Sequence[str] | None = None,
     prune: bool = True,
+    persist_source: bool = True,
 ) -> None:
     """Insert the rows of ``source`` whose key the table at ``path`` lacks.
 
     Each load is a partition ``load_id``. Repeating a load compares against the other
     loads only and replaces its own partition, so a replay changes nothing, rows with
     a NULL key included. With ``prune`` the target scan is limited to the key range
-    of the source (a scalar subquery that reaches the parquet filters).
+    of the source (a scalar subquery that reaches the parquet filters). The source is
+    read three times (key range, frequent keys, join); ``persist_source`` keeps it on
+    the executors meanwhile, spilling to their disks. Turn that off for a source that
+    is cheap to read again.
     """
     spark = source.sparkSession
-    new = source
-    if table_exists(spark, path):
-        target = spark.read.parquet(path).where(F.col("load_id") != load_id)
+    if not table_exists(spark, path):
+        _write_load(source, path, load_id)
+        return
+    target = spark.read.parquet(path).where(F.col("load_id") != load_id)
+    if persist_source:
+        source = source.persist()
+    try:
         if prune and len(key) == 1:
-            column = key[0]
-            low = source.agg(F.min(column)).scalar()
-            high = source.agg(F.max(column)).scalar()
-            target = target.where((F.col(column) >= low) & (F.col(column) <= high))
-        new = merge_rows(source, target, key, spread_by=spread_by)
+            column = F.col(key[0])
+            ends = source.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")))
+            span = ends.scalar()
+            target = target.where((column >= span["low"]) & (column <= span["high"]))
+        _write_load(merge_rows(source, target, key, spread_by=spread_by), path, load_id)
+    finally:
+        if persist_source:
+            source.unpersist()
+
+
+def _write_load(rows: DataFrame, path: str, load_id: str) -> None:
     (
-        new.withColumn("load_id", F.lit(load_id))
+        rows.withColumn("load_id", F.lit(load_id))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("load_id")
