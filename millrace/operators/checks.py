@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import cached_property, reduce
 from operator import or_
 
@@ -51,10 +51,11 @@ class Check:
     """A rule over one table.
 
     ``counters`` are aggregates over the table, shared by name between checks.
-    ``failed``, ``summary``, ``message``, ``details`` and the metrics are
-    expressions over those counters. ``violation`` is a predicate over the table's
-    rows (NULL means "no violation"); ``fields`` is what a violation row records.
-    ``table_fields`` replaces both for a check about the table as a whole.
+    ``failed``, ``summary``, ``message``, ``details`` and the metrics are expressions
+    over those counters. ``violation`` is a predicate over the table's rows (NULL means
+    "no violation"); ``fields`` is what a violation row records. ``table_fields``
+    replaces both for a check about the table as a whole. What only some result frames
+    need is given as a function and built when such a frame is asked for.
     """
 
     name: str
@@ -64,14 +65,14 @@ class Check:
     total: str
     issues: str
     failed: Column
-    metrics: Sequence[Metric] = ()
+    summary: Callable[[], Column]
+    message: Callable[[], Column]
+    metrics: Callable[[], Sequence[Metric]]
     violation: Column | None = None
-    fields: Sequence[Column | FromCounter] = ()
-    table_fields: Sequence[Column] = ()
+    fields: Callable[[], Sequence[Column | FromCounter]] = tuple
+    table_fields: Callable[[], Sequence[Column]] | None = None
+    details: Callable[[], Sequence[Column]] | None = None
     severity: str = "MEDIUM"
-    summary: Column | None = None
-    message: Column | None = None
-    details: Sequence[Column] = field(default_factory=tuple)
 
 
 @dataclass(frozen=True)
@@ -145,7 +146,7 @@ class TableChecks:
         rows = []
         for position, check in enumerate(self.checks):
             issues = F.col(check.issues).cast("bigint")
-            details = json_object(*check.details) if check.details else F.lit(None)
+            details = json_object(*check.details()) if check.details else F.lit(None)
             rows.append(
                 F.struct(
                     F.lit(self._id + position).cast("bigint").alias("log_id"),
@@ -157,7 +158,7 @@ class TableChecks:
                     F.col(check.total).cast("bigint").alias("row_count"),
                     issues.alias("issue_count"),
                     severity_of(issues, check.severity).alias("severity"),
-                    _or_null(check.summary).cast("string").alias("summary"),
+                    check.summary().alias("summary"),
                     details.cast("string").alias("details"),
                 )
             )
@@ -167,7 +168,7 @@ class TableChecks:
     def metrics(self) -> DataFrame:
         rows = []
         for check in self.checks:
-            for metric in check.metrics:
+            for metric in check.metrics():
                 rows.append(
                     F.struct(
                         F.lit(self._id + len(rows)).cast("bigint").alias("metric_id"),
@@ -188,10 +189,7 @@ class TableChecks:
     def messages(self) -> DataFrame:
         """The status text of each check."""
         rows = [
-            F.struct(
-                F.lit(check.name).alias("check_name"),
-                _or_null(check.message).cast("string").alias("message"),
-            )
+            F.struct(F.lit(check.name).alias("check_name"), check.message().alias("message"))
             for check in self.checks
         ]
         return self._rows(rows)
@@ -220,7 +218,7 @@ class TableChecks:
                     self.counts.where(F.col(check.issues) > 0).select(
                         F.lit(check.table).alias("table_name"),
                         F.lit(check.rule).alias("rule_name"),
-                        json_object(*check.table_fields).alias("violation_details"),
+                        json_object(*check.table_fields()).alias("violation_details"),
                     )
                 )
         found = reduce(DataFrame.unionByName, frames)
@@ -233,7 +231,7 @@ class TableChecks:
 
     def _fields(self, check: Check) -> list[Column]:
         out = []
-        for item in check.fields:
+        for item in check.fields():
             if isinstance(item, FromCounter):
                 whole = self.counts.select(F.col(item.counter).cast("bigint")).scalar()
                 out.append(whole.alias(item.name))

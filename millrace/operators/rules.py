@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ def row_rule(
     violation: Column,
     *,
     table: str,
-    fields: Sequence[Column | FromCounter],
+    fields: Callable[[], Sequence[Column | FromCounter]],
     summary: str,
     message: str,
     counter: str,
@@ -45,19 +45,22 @@ def row_rule(
         issues=counter,
         failed=issues > 0,
         severity=severity,
-        summary=counted(summary, issues),
-        message=counted(message, issues),
-        metrics=[Metric(rule, fail_percent(issues, total), 0, issues == 0, issues, total)],
+        summary=lambda: counted(summary, issues),
+        message=lambda: counted(message, issues),
+        metrics=lambda: [Metric(rule, fail_percent(issues, total), 0, issues == 0, issues, total)],
         violation=violation,
         fields=fields,
     )
 
 
 def null_rule(columns: Sequence[str] = CRITICAL, table: str = fv.TRIPS_TABLE) -> Check:
-    fields: list[Column | FromCounter] = [FromCounter("null_count", "null_rows")]
-    fields += [
-        (time_text(F.col(n)) if n.endswith("_datetime") else F.col(n)).alias(n) for n in columns
-    ]
+    def fields() -> list[Column | FromCounter]:
+        texts = [time_text(F.col(n)) if n.endswith("_datetime") else F.col(n) for n in columns]
+        return [
+            FromCounter("null_count", "null_rows"),
+            *[text.alias(n) for text, n in zip(texts, columns)],
+        ]
+
     return row_rule(
         "NON_NULL",
         "RULE_NON_NULL",
@@ -81,7 +84,7 @@ def range_rule(
         "RULE_FARE_RANGE",
         outside_open_range(F.col(column), low, high),
         table=table,
-        fields=[F.col(column)],
+        fields=lambda: [F.col(column)],
         summary=fv.RANGE_SUMMARY,
         message=fv.RANGE_MESSAGE,
         counter="out_of_range_rows",
@@ -96,7 +99,7 @@ def geo_rule(
         "RULE_GEO_VERIFY",
         bad_coordinates(LATITUDES, LONGITUDES, lat_bounds, lon_bounds),
         table=table,
-        fields=[
+        fields=lambda: [
             F.col("pickup_latitude"),
             F.col("pickup_longitude"),
             F.col("dropoff_latitude"),
@@ -130,10 +133,10 @@ def unique_rule(key: Sequence[str], table: str = fv.TRIPS_TABLE) -> Check:
         total="rows",
         issues="surplus_rows",
         failed=issues > 0,
-        summary=counted("Uniqueness check: {n} surplus records found", issues),
-        message=counted("Rule 1 check complete: {n} surplus records found", issues),
-        details=[F.col("repeated_keys")],
-        metrics=[
+        summary=lambda: counted("Uniqueness check: {n} surplus records found", issues),
+        message=lambda: counted("Rule 1 check complete: {n} surplus records found", issues),
+        details=lambda: [F.col("repeated_keys")],
+        metrics=lambda: [
             Metric("RULE_UNIQUE", fail_percent(issues, total), 0, issues == 0, issues, total)
         ],
     )
@@ -182,7 +185,9 @@ def reading_null_rule(
             rows,
         )
 
-    text = _status_text("check_openaq_nulls", failed, "null_pm25", values, rows, pct)
+    def text() -> Column:
+        return _status_text("check_openaq_nulls", failed, "null_pm25", values, rows, pct)
+
     return Check(
         name="check_openaq_nulls",
         rule="null_pm25_check",
@@ -198,20 +203,20 @@ def reading_null_rule(
         failed=failed,
         summary=text,
         message=text,
-        details=[
+        details=lambda: [
             values.alias("null_pm25_count"),
             F.col("null_locations").alias("null_location_count"),
             F.col("null_sensors").alias("null_sensor_count"),
             half_up(pct, 2).alias("null_pm25_pct"),
             F.lit(limit_pct).alias("threshold_pct"),
         ],
-        metrics=[
+        metrics=lambda: [
             Metric("null_pm25_pct", half_up(pct, 2), limit_pct, pct <= limit_pct, values, rows),
             key_metric("null_location_pct", F.col("null_locations")),
             key_metric("null_sensor_pct", F.col("null_sensors")),
         ],
         violation=F.col("pm25_value").isNull(),
-        fields=[F.col("location_id"), F.col("sensor_id"), F.lit(fv.NULL_VALUE_ISSUE).alias("issue")],
+        fields=lambda: [F.col("location_id"), F.col("sensor_id"), F.lit(fv.NULL_VALUE_ISSUE).alias("issue")],
     )
 
 
@@ -230,7 +235,10 @@ def freshness_rule(
     )
     pct = fail_percent(old, rows)
     failed = pct > limit_pct
-    text = _status_text("check_openaq_freshness", failed, "stale", old, rows, pct)
+
+    def text() -> Column:
+        return _status_text("check_openaq_freshness", failed, "stale", old, rows, pct)
+
     return Check(
         name="check_openaq_freshness",
         rule="freshness_check",
@@ -246,7 +254,7 @@ def freshness_rule(
         failed=failed,
         summary=text,
         message=text,
-        details=[
+        details=lambda: [
             old.alias("stale_count"),
             fresh.alias("fresh_count"),
             unknown.alias("null_time"),
@@ -254,7 +262,7 @@ def freshness_rule(
             F.lit(limit_pct).alias("threshold_pct"),
             F.lit(days).alias("stale_after_days"),
         ],
-        metrics=[
+        metrics=lambda: [
             Metric("stale_reading_pct", half_up(pct, 2), limit_pct, pct <= limit_pct, old, rows),
             Metric(
                 "fresh_sensor_count", fresh, fv.MIN_FRESH_READINGS, fresh >= fv.MIN_FRESH_READINGS
@@ -262,7 +270,7 @@ def freshness_rule(
             Metric("null_reading_time", unknown, 0, unknown == 0),
         ],
         violation=stale,
-        fields=[
+        fields=lambda: [
             F.col("location_id"),
             F.col("sensor_id"),
             time_text(moment).alias("reading_time"),
@@ -287,16 +295,19 @@ def threshold_rule(
     )
     pct = fail_percent(above, total)
     failed = pct > audit_limit_pct
-    text = _status_text(
-        "check_openaq_who_threshold",
-        failed,
-        "above_who",
-        above,
-        total,
-        pct,
-        ("hazardous", severe.cast("string")),
-        ("avg_pm25", F.format_string("%.2f", mean)),
-    )
+
+    def text() -> Column:
+        return _status_text(
+            "check_openaq_who_threshold",
+            failed,
+            "above_who",
+            above,
+            total,
+            pct,
+            ("hazardous", severe.cast("string")),
+            ("avg_pm25", F.format_string("%.2f", mean)),
+        )
+
     return Check(
         name="check_openaq_who_threshold",
         rule="who_threshold_check",
@@ -312,7 +323,7 @@ def threshold_rule(
         failed=failed,
         summary=text,
         message=text,
-        details=[
+        details=lambda: [
             above.alias("above_who_threshold"),
             severe.alias("hazardous_count"),
             half_up(pct, 2).alias("breach_pct"),
@@ -320,7 +331,7 @@ def threshold_rule(
             F.lit(limit).alias("who_threshold"),
             F.lit(hazardous).alias("hazardous_threshold"),
         ],
-        metrics=[
+        metrics=lambda: [
             Metric(
                 "who_breach_pct",
                 half_up(pct, 2),
@@ -333,7 +344,7 @@ def threshold_rule(
             Metric("avg_pm25_ug_m3", mean, limit, mean <= limit),
         ],
         violation=value > limit,
-        fields=[
+        fields=lambda: [
             F.col("location_id"),
             F.col("sensor_id"),
             value,

@@ -63,9 +63,9 @@ def schema_rule(
         issues="schema_findings",
         failed=issues > 0,
         severity="HIGH",
-        summary=counted(fv.SCHEMA_SUMMARY, issues),
-        message=counted(fv.SCHEMA_MESSAGE, issues),
-        metrics=[
+        summary=lambda: counted(fv.SCHEMA_SUMMARY, issues),
+        message=lambda: counted(fv.SCHEMA_MESSAGE, issues),
+        metrics=lambda: [
             Metric(
                 "RULE_SCHEMA",
                 F.when(issues > 0, 100.0).otherwise(0.0),
@@ -75,7 +75,7 @@ def schema_rule(
                 F.col("schema_columns"),
             )
         ],
-        table_fields=[
+        table_fields=lambda: [
             issues.alias("missing_cols"),
             _names("missing", diff.missing),
             _names("unexpected", diff.unexpected),

@@ -33,7 +33,6 @@ METRIC_KEYS = [
     "threshold",
     "passed",
 ]
-TYPICAL_ROW_BYTES = 256
 
 
 @dataclass(frozen=True)
@@ -66,13 +65,14 @@ def export_json(
 ) -> str:
     """Write the day's rows as gzipped JSON lines to ``<root>/<name>/<day>/``,
     replacing an earlier export of that day. Tasks write in parallel; a file is cut
-    when it reaches about ``file_bytes`` of text."""
+    when it holds about ``file_bytes`` of text, judged by the day's mean row length."""
     path = f"{root}/{name}/{day}"
+    rows = export_rows(results, keys, day)
+    mean_bytes = rows.agg(F.avg(F.octet_length("value"))).collect()[0][0] or 1
     (
-        export_rows(results, keys, day)
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("compression", "gzip")
-        .option("maxRecordsPerFile", max(1, file_bytes // TYPICAL_ROW_BYTES))
+        .option("maxRecordsPerFile", max(1, int(file_bytes / mean_bytes)))
         .text(path)
     )
     return path

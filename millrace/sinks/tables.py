@@ -118,8 +118,12 @@ def _write_load(rows: DataFrame, path: str, load_id: str) -> None:
     )
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("load_id")
+def read_merged(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
+    """The merged table, or the rows that one load added."""
+    rows = spark.read.parquet(path)
+    if load_id is not None:
+        rows = rows.where(F.col("load_id") == load_id)
+    return rows.drop("load_id")
 
 
 def upserted(

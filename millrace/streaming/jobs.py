@@ -15,6 +15,7 @@ from ..operators.bronze import bronze_rows, typed_trips
 from ..operators.checks import run_checks
 from ..operators.silver import LINEAGE, MERGE_KEY, silver_filter, silver_shape
 from ..plans.daily import run_all_checks
+from ..schemas import TRIP_NAMES
 from ..sinks.export import ExportStatus, export_all
 from ..sinks.tables import append_results, merge_insert_only, read_merged, read_results
 from ..sources.landing import scan_csv, scan_json
@@ -112,14 +113,17 @@ def check_and_export(
     export_root: str,
     as_of: dt.datetime | str,
     log: list[ExportStatus] | None = None,
+    whole_table: bool = True,
 ) -> BatchStep:
     """The steps after a merge: run all checks, append their results, export the day.
 
-    The run id is the load id, so a replayed batch replaces its own results."""
+    The run id is the load id, so a replayed batch replaces its own results. With
+    ``whole_table=False`` the trip checks cover the rows of this load only (one silver
+    partition), which keeps the cost of a batch independent of the size of silver."""
 
     def step(_batch: DataFrame, load_id: str) -> None:
         run = run_all_checks(
-            read_merged(spark, silver_path).drop(*LINEAGE, "__silver_loaded_ts"),
+            read_merged(spark, silver_path, None if whole_table else load_id).select(*TRIP_NAMES),
             readings,
             as_of=as_of,
             run_id=load_id,

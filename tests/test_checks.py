@@ -125,7 +125,7 @@ def test_own_rule(spark):
         "RULE_TIP",
         F.col("tip_amount") > 9,
         table="silver",
-        fields=[F.col("tip_amount")],
+        fields=lambda: [F.col("tip_amount")],
         summary="tips: {n}",
         message="tips checked: {n}",
         counter="big_tips",

@@ -149,11 +149,11 @@ def test_export_is_cut_into_files_and_replaced(spark, folder):
     )
     for _ in range(2):
         path = export.export_json(
-            rows.coalesce(1), export.AUDIT_KEYS, "2024-01-30", folder, "log", file_bytes=256 * 300
+            rows.coalesce(1), export.AUDIT_KEYS, "2024-01-30", folder, "log", file_bytes=40_000
         )
     names = glob.glob(f"{path}/*.txt.gz")
     lines = [json.loads(line) for n in names for line in gzip.open(n, "rt")]
-    assert len(names) == 4 and len(lines) == 1000
+    assert len(names) == 4 and len(lines) == 1000  # about 131 bytes a row
     assert sum("details" in line for line in lines) == 1
     assert lines[0]["run_timestamp"] == "2024-01-30 01:00:00.000"
 
