@@ -15,23 +15,23 @@ from ..functions.predicates import (
 )
 from ..functions.text import counted, json_object, strip_markdown
 from ..functions.times import (
-    DAY,
-    DEFAULT_TEXT,
-    HOUR_BUCKET,
-    MONTH,
     clock,
+    day_text,
     days_between,
+    hour_text,
     midnight,
     minutes_between,
+    month_text,
     on_day,
     parsed_time,
     shifted,
+    stamp_text,
     time_text,
     within_days,
     within_minutes,
 )
 from ..operators.rules import CRITICAL
-from ..sinks.layout import landing_path, stamp
+from ..sinks.layout import landing_path
 from . import inputs as i
 from .registry import query
 
@@ -242,10 +242,10 @@ def format_timestamp(spark, sf_dir):
     moment = F.col("ts")
     return i.table(spark, sf_dir, "events").select(
         "event_id",
-        time_text(moment, MONTH).alias("month"),
-        time_text(moment, DAY).alias("day"),
-        time_text(moment, HOUR_BUCKET).alias("hour"),
-        time_text(moment, DEFAULT_TEXT).alias("plain"),
+        month_text(moment).alias("month"),
+        day_text(moment).alias("day"),
+        hour_text(moment).alias("hour"),
+        time_text(moment).alias("plain"),
     )
 
 
@@ -424,7 +424,7 @@ def strip_markdown_query(spark, sf_dir):
     "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events",
 )
 def landing_timestamp_key(spark, sf_dir):
-    return i.table(spark, sf_dir, "events").select("event_id", stamp(F.col("ts")).alias("stamp"))
+    return i.table(spark, sf_dir, "events").select("event_id", stamp_text(F.col("ts")).alias("stamp"))
 
 
 @query(

@@ -1,4 +1,5 @@
-"""Time expressions. The clock is always an explicit ``as_of`` argument."""
+"""Time expressions. The clock is always an explicit ``as_of`` argument, and nothing
+depends on the time zone of the session."""
 
 from __future__ import annotations
 
@@ -7,10 +8,38 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: text forms of a timestamp
-MONTH, DAY, HOUR_BUCKET = "yyyy-MM", "yyyy-MM-dd", "yyyy-MM-dd HH:00"
-DEFAULT_TEXT = "yyyy-MM-dd HH:mm:ss.SSS"
-FILE_STAMP = "yyyyMMdd_HHmmss"
+
+def _text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss[.fraction]``. A cast of the time-zone-free type; the format
+    functions would go through the session's time zone."""
+    return moment.cast("timestamp_ntz").cast("string")
+
+
+def month_text(moment: Column) -> Column:
+    """``yyyy-MM``"""
+    return F.substring(_text(moment), 1, 7)
+
+
+def day_text(moment: Column) -> Column:
+    """``yyyy-MM-dd``"""
+    return F.substring(_text(moment), 1, 10)
+
+
+def hour_text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:00``"""
+    return F.concat(F.substring(_text(moment), 1, 13), F.lit(":00"))
+
+
+def time_text(moment: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss.SSS``"""
+    text = _text(moment)
+    fraction = F.rpad(F.substring(text, 21, 3), 3, "0")
+    return F.concat(F.substring(text, 1, 19), F.lit("."), fraction)
+
+
+def stamp_text(moment: Column) -> Column:
+    """``yyyyMMdd_HHmmss``"""
+    return F.translate(F.substring(_text(moment), 1, 19), " -:", "_")
 
 
 def clock(as_of: dt.datetime | str) -> Column:
@@ -34,18 +63,15 @@ def days_between(earlier: Column, later: Column) -> Column:
 
 def minutes_between(earlier: Column, later: Column) -> Column:
     """Number of minute marks crossed (59 s to 60 s counts as 1)."""
-    return F.timestamp_diff(
-        "MINUTE", F.date_trunc("MINUTE", earlier), F.date_trunc("MINUTE", later)
-    ).cast("bigint")
-
-
-def time_text(moment: Column, form: str = DEFAULT_TEXT) -> Column:
-    return F.date_format(moment, form)
+    hours = F.hour(later) - F.hour(earlier)
+    minutes = F.minute(later) - F.minute(earlier)
+    return days_between(earlier, later) * 1440 + hours * 60 + minutes
 
 
 def parsed_time(text: Column) -> Column:
-    """ISO text to a time-zone-free timestamp; NULL for text that is no time."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """ISO text to a time-zone-free timestamp (the wall clock, an offset is ignored);
+    NULL for text that is no time."""
+    return text.try_cast("timestamp_ntz")
 
 
 def within_days(moment: Column, as_of: Column, days: int) -> Column:

@@ -62,12 +62,8 @@ def alert_line() -> Column:
 def join_lines(failures: DataFrame, group: list[str]) -> DataFrame:
     """The alert lines of each group as one text, newest first. The caller chooses a
     group that is bounded (a part, a block of log ids): its lines meet in one task."""
-    entry = F.struct(
-        (-F.unix_micros(F.col("run_timestamp").cast("timestamp"))).alias("age"),
-        (-F.col("log_id")).alias("tie"),
-        alert_line().alias("line"),
-    )
-    ordered = F.array_sort(F.collect_list(entry))
+    entry = F.struct("run_timestamp", "log_id", alert_line().alias("line"))
+    ordered = F.sort_array(F.collect_list(entry), asc=False)
     lines = F.array_join(F.transform(ordered, lambda e: e["line"]), "\n")
     return failures.groupBy(*group).agg(lines.alias("lines"))
 

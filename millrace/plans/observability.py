@@ -12,12 +12,11 @@ from ..functions.bands import health_label
 from ..functions.numbers import half_up, share_pct
 from ..functions.predicates import like_any
 from ..functions.times import (
-    DAY,
-    HOUR_BUCKET,
     clock,
+    day_text,
+    hour_text,
     midnight,
     minutes_between,
-    time_text,
     within_days,
 )
 from .air_marts import who_breaches
@@ -46,7 +45,7 @@ def _score() -> Column:
 def health_score(metrics: DataFrame) -> DataFrame:
     """Per day, exact run time, table and metric."""
     return metrics.groupBy(
-        time_text(F.col(RUN), DAY).alias("metric_date"), RUN, "table_name", "metric_name"
+        day_text(F.col(RUN)).alias("metric_date"), RUN, "table_name", "metric_name"
     ).agg(
         _checks().alias("total_checks"),
         _passed().alias("passed_checks"),
@@ -93,7 +92,7 @@ def trend(metrics: DataFrame, as_of: dt.datetime | str, days: int = fv.TREND_DAY
 
 
 def trend_rows(metrics: DataFrame) -> DataFrame:
-    bucket = time_text(F.col(RUN), HOUR_BUCKET).alias("time_bucket")
+    bucket = hour_text(F.col(RUN)).alias("time_bucket")
     return metrics.groupBy(bucket, "table_name", "metric_name").agg(
         _checks().alias("total_checks"),
         _passed().alias("pass_count"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.bands import fare_bucket
 from ..functions.numbers import half_up, share_pct
-from ..functions.times import DAY, MONTH, time_text
+from ..functions.times import day_text, month_text
 from ..schemas import TRIP_NAMES
 
 
@@ -41,7 +41,7 @@ def summary_columns(silver: DataFrame) -> DataFrame:
 
 
 def billing_summary(silver: DataFrame) -> DataFrame:
-    return silver.groupBy(time_text(F.col("pickup_datetime"), MONTH).alias("billing_month")).agg(
+    return silver.groupBy(month_text(F.col("pickup_datetime")).alias("billing_month")).agg(
         _rows().alias("total_trips"),
         _total("fare_amount").alias("total_fare"),
         _total("extra").alias("total_extras"),
@@ -57,7 +57,7 @@ def billing_summary(silver: DataFrame) -> DataFrame:
 
 def operational_reporting(silver: DataFrame) -> DataFrame:
     kind = F.col("payment_type")
-    return silver.groupBy(time_text(F.col("pickup_datetime"), DAY).alias("reporting_date")).agg(
+    return silver.groupBy(day_text(F.col("pickup_datetime")).alias("reporting_date")).agg(
         _rows().alias("daily_trips"),
         _total("fare_amount").alias("daily_fare"),
         _mean("passenger_count").alias("avg_passengers"),

@@ -5,16 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions.times import FILE_STAMP
-
-
-def stamp(moment: Column) -> Column:
-    """Time as it appears in file names."""
-    return F.date_format(moment, FILE_STAMP)
+from ..functions.times import stamp_text
 
 
 def landing_path(source: str, moment: Column, extension: str, root: str = "landing") -> Column:
     """``landing/<source>/<source>_<stamp>.<extension>``"""
     return F.concat(
-        F.lit(f"{root}/{source}/{source}_"), stamp(moment), F.lit(f".{extension}")
+        F.lit(f"{root}/{source}/{source}_"), stamp_text(moment), F.lit(f".{extension}")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import half_up, share_pct
-from ..functions.times import HOUR_BUCKET
+from ..functions.times import hour_text
 from ..operators.bronze import bronze_rows, typed_trips
 from ..operators.checks import run_checks
 from ..operators.silver import LINEAGE, MERGE_KEY, silver_filter, silver_shape
@@ -177,7 +177,7 @@ def hourly_trend_stream(metrics: DataFrame, delay: str = "1 hour") -> DataFrame:
         )
     )
     return hours.select(
-        F.date_format("hour.start", HOUR_BUCKET).alias("time_bucket"),
+        hour_text(F.col("hour.start")).alias("time_bucket"),
         "table_name",
         "metric_name",
         "total_checks",

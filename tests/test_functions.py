@@ -137,3 +137,33 @@ def test_same_day_is_pushed_down(spark, folder):
     )
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-30T00:00), LessThan(ts,2024-01-31T00:00)]" in plan
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 on this day does not exist in New York."""
+    moment = "(TIMESTAMP_NTZ '2024-03-10 02:30:59.1234')"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        late = times.clock("2024-03-10 03:30:00")
+        row = spark.sql(f"SELECT * FROM VALUES {moment} AS t(x)").select(
+            times.month_text(F.col("x")),
+            times.day_text(F.col("x")),
+            times.hour_text(F.col("x")),
+            times.time_text(F.col("x")),
+            times.stamp_text(F.col("x")),
+            times.minutes_between(F.col("x"), late),
+            times.days_between(F.col("x"), late),
+            times.parsed_time(F.lit("2024-03-10T02:30:00Z")).cast("string"),
+        )
+        assert tuple(row.collect()[0]) == (
+            "2024-03",
+            "2024-03-10",
+            "2024-03-10 02:00",
+            "2024-03-10 02:30:59.123",
+            "20240310_023059",
+            60,
+            0,
+            "2024-03-10 02:30:00",
+        )
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
