@@ -64,9 +64,10 @@ def scan_json_landing(spark, sf_dir):
     "copy_openaq_json",
     i.over(
         "readings",
-        f"""SELECT sensor_id, count(*) AS readings, count(DISTINCT block) AS documents
-FROM (SELECT *, event_id // {i.READINGS_PER_DOCUMENT} AS block FROM readings) r
-WHERE sensor_id % 13 <> 0 GROUP BY sensor_id""",
+        f"""SELECT sensor_id, CAST(sum(n) AS BIGINT) AS readings, count(*) AS documents
+FROM (SELECT sensor_id, count(*) AS n FROM readings
+ GROUP BY sensor_id, event_id // {i.READINGS_PER_DOCUMENT}) d
+WHERE n > 1 GROUP BY sensor_id""",
     ),
 )
 def copy_openaq_json(spark, sf_dir):
@@ -86,8 +87,9 @@ def copy_openaq_json(spark, sf_dir):
     "malformed_records",
     i.over(
         "readings",
-        f"""SELECT count(*) AS records, count(*) FILTER (WHERE sensor_id % 13 = 0) AS malformed
-FROM (SELECT DISTINCT sensor_id, event_id // {i.READINGS_PER_DOCUMENT} FROM readings) d""",
+        f"""SELECT count(*) AS records, count(*) FILTER (WHERE n = 1) AS malformed
+FROM (SELECT count(*) AS n FROM readings
+ GROUP BY sensor_id, event_id // {i.READINGS_PER_DOCUMENT}) d""",
     ),
 )
 def malformed_records(spark, sf_dir):
@@ -199,9 +201,10 @@ def bronze_append(spark, sf_dir):
 
 
 _APPENDED = "\nUNION ALL ".join(
-    f"""SELECT run_id, '{name}' AS check_name, count(*) FILTER (WHERE {condition}) AS issue_count,
- count(*) FILTER (WHERE {condition}) AS violations
-FROM trips, (VALUES ('run-1'), ('run-2')) r(run_id) GROUP BY run_id"""
+    f"""SELECT '{run}' AS run_id, '{name}' AS check_name,
+ count(*) FILTER (WHERE {condition}) AS issue_count,
+ count(*) FILTER (WHERE {condition}) AS violations FROM trips"""
+    for run in ("run-1", "run-2")
     for name, condition in (("NON_NULL", NULLS), ("NUM_RANGE", FARE), ("GEO_BOUNDS", GEO))
 )
 

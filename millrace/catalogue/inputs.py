@@ -160,7 +160,8 @@ def reading_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("reading_time").cast("string").alias("latest_time"),
     )
     return rows.groupBy("sensor_id", "block").agg(
-        F.to_json(F.struct(F.collect_list(element).alias("results"))).alias("document")
+        F.to_json(F.struct(F.collect_list(element).alias("results"))).alias("document"),
+        F.count(F.lit(1)).alias("readings"),
     )
 
 
@@ -221,8 +222,8 @@ def _write_reading_arrays(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Documents as they arrive: some are cut off (not valid JSON)."""
-    broken = F.col("sensor_id") % 13 == 0
+    """Documents as they arrive: those with a single reading are cut off (no valid JSON)."""
+    broken = F.col("readings") == 1
     texts = reading_documents(spark, sf_dir).select(
         F.when(broken, F.lit('{"results":[{bad')).otherwise(F.col("document")).alias("value")
     )

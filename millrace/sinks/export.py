@@ -46,13 +46,15 @@ def _export_field(df: DataFrame, name: str) -> Column:
         return F.lit(None).cast("string").alias(name)
     if name == "run_timestamp":
         return time_text(F.col(name)).alias(name)
+    if name == "details":
+        return F.try_parse_json(F.col(name)).alias(name)
     return F.col(name).alias(name)
 
 
 def export_rows(results: DataFrame, keys: list[str], day: dt.date | str) -> DataFrame:
-    """One JSON object per result row of ``day``; NULL keys are left out."""
+    """The result rows of ``day`` with the exported keys; details become an object."""
     today = results.where(on_day(F.col("run_timestamp"), clock(day)))
-    return today.select(json_object(*[_export_field(results, k) for k in keys]).alias("value"))
+    return today.select(*[_export_field(results, k) for k in keys])
 
 
 def export_json(
@@ -63,17 +65,19 @@ def export_json(
     name: str,
     file_bytes: int = fv.EXPORT_FILE_BYTES,
 ) -> str:
-    """Write the day's rows as gzipped JSON lines to ``<root>/<name>/<day>/``,
-    replacing an earlier export of that day. Tasks write in parallel; a file is cut
-    when it holds about ``file_bytes`` of text, judged by the day's mean row length."""
+    """Write the day's rows to ``<root>/<name>/<day>/`` as gzipped JSON lines without the
+    NULL keys, replacing an earlier export of that day. Tasks write in parallel; a file is
+    cut when it holds about ``file_bytes`` of text, judged by the day's mean row length."""
     path = f"{root}/{name}/{day}"
     rows = export_rows(results, keys, day)
-    mean_bytes = rows.agg(F.avg(F.octet_length("value"))).collect()[0][0] or 1
+    length = F.octet_length(json_object(*[F.col(k) for k in keys]))
+    mean_bytes = rows.agg(F.avg(length)).collect()[0][0] or 1
     (
         rows.write.mode("overwrite")
         .option("compression", "gzip")
+        .option("ignoreNullFields", True)
         .option("maxRecordsPerFile", max(1, int(file_bytes / mean_bytes)))
-        .text(path)
+        .json(path)
     )
     return path
 

@@ -4,9 +4,11 @@ import gzip
 import glob
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalogue import inputs
+from millrace.operators import bronze
 from millrace.operators.bronze import (
     bronze_rows,
     flatten_readings,
@@ -28,7 +30,9 @@ def write(path, text):
         f.write(text)
 
 
-def test_row_numbers_in_a_split_file(spark, folder):
+@pytest.mark.parametrize("broadcast_blocks", [100_000, 3])
+def test_row_numbers_in_a_split_file(spark, folder, monkeypatch, broadcast_blocks):
+    monkeypatch.setattr(bronze, "BROADCAST_BLOCKS", broadcast_blocks)
     names = ["a", "b"]
     for part in range(2):
         lines = "\n".join(f"{part},{n}" for n in range(1, 20_001))
@@ -145,16 +149,16 @@ def test_export_is_cut_into_files_and_replaced(spark, folder):
     rows = spark.range(1000).selectExpr(
         "id AS log_id", "TIMESTAMP_NTZ '2024-01-30 01:00:00' AS run_timestamp", "'t' AS table_name",
         "'c' AS check_name", "'PASS' AS status", "1L AS row_count", "0L AS issue_count",
-        "IF(id = 0, '{}', NULL) AS details",
+        "IF(id = 0, '{\"n\":{\"m\":1}}', NULL) AS details",
     )
     for _ in range(2):
         path = export.export_json(
             rows.coalesce(1), export.AUDIT_KEYS, "2024-01-30", folder, "log", file_bytes=40_000
         )
-    names = glob.glob(f"{path}/*.txt.gz")
+    names = glob.glob(f"{path}/*.json.gz")
     lines = [json.loads(line) for n in names for line in gzip.open(n, "rt")]
     assert len(names) == 4 and len(lines) == 1000  # about 131 bytes a row
-    assert sum("details" in line for line in lines) == 1
+    assert [line["details"] for line in lines if "details" in line] == [{"n": {"m": 1}}]
     assert lines[0]["run_timestamp"] == "2024-01-30 01:00:00.000"
 
 

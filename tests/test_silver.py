@@ -72,6 +72,19 @@ def test_mark_first_keeps_all_rows(spark):
     assert all(r.is_first == (r.k is None or first[r.k] == r.n) for r in got)
 
 
+def test_hot_key_is_ranked_in_many_tasks(spark):
+    """Half the rows share one key; after the second window no task holds half."""
+    rows = spark.range(20_000).selectExpr("IF(id % 2 = 0, 5, id) AS k", "id AS n")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = skew.mark_first(rows, ["k"], [F.col("n").asc()], ["n"])
+        sizes = got.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 0.4 * 20_000
+        assert got.where("is_first").count() == 10_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_quarantine_and_dedup_partition_the_rows(spark):
     rows = inputs.silver(spark, SF, lineage=True)
     kept = silver.dedup_by_key(rows).count()
