@@ -10,7 +10,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from millrace.catalogue import CATALOGUE, inputs  # noqa: E402
-from millrace.session import local_session  # noqa: E402
+from millrace.session import local_session, scratch_path  # noqa: E402
 
 HEADLINE = [
     "run_all_checks",
@@ -33,9 +33,12 @@ def main() -> None:
     spark = local_session(cpus, app="bench")
     seconds: dict[str, float] = {}
     if not sys.argv[1:]:  # the trip table that the trip queries read, derived once
-        start = time.perf_counter()
-        inputs.landed(spark, sf_dir, "trip-table")
-        seconds["derive_trip_table"] = round(time.perf_counter() - start, 3)
+        tries = []
+        for _ in range(repeats):
+            start = time.perf_counter()
+            inputs.trip_bridge(spark, sf_dir).write.parquet(scratch_path(spark, "bench"))
+            tries.append(time.perf_counter() - start)
+        seconds["derive_trip_table"] = round(min(tries), 3)
     for name in sys.argv[1:] or HEADLINE:
         best = None
         for _ in range(repeats):  # the first run also warms up the JVM

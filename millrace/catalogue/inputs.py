@@ -199,11 +199,16 @@ def _stored(spark: SparkSession, path: str) -> tuple[int, int]:
     )
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def landed(spark: SparkSession, sf_dir: str, kind: str) -> str:
     """The path of landed files of one kind, derived from the tables by Spark."""
     origin = _stored(spark, f"{sf_dir}/{_ORIGIN[kind]}.parquet")
     spot = (spark.sparkContext.applicationId, sf_dir, kind, origin)
-    if spot not in _landed:
+    if spot not in _landed or not _exists(spark, _landed[spot]):
         path = scratch_path(spark, f"landing-{kind}")
         _WRITERS[kind](spark, sf_dir, path)
         _landed[spot] = path

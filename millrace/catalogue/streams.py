@@ -169,9 +169,9 @@ def task_chain(spark, sf_dir):
     )
 
 
-def _batch_counts(run: str, condition: str) -> str:
+def _batch_counts(batch: int, condition: str) -> str:
     return "\nUNION ALL ".join(
-        f"""SELECT '{run}' AS run_id, '{rule}' AS metric_name,
+        f"""SELECT {batch} AS batch, '{rule}' AS metric_name,
  count(*) FILTER (WHERE {bad}) AS fail_count, count(*) AS total_count
 FROM trips WHERE {condition}"""
         for rule, bad in (
@@ -186,10 +186,10 @@ FROM trips WHERE {condition}"""
     "stream_dq_metrics",
     i.over(
         "trips",
-        _batch_counts("checks-0", f"pickup_datetime < {FIRST_LOAD}")
+        _batch_counts(0, f"pickup_datetime < {FIRST_LOAD}")
         + "\nUNION ALL "
         + _batch_counts(
-            "checks-1", f"(pickup_datetime IS NULL OR pickup_datetime >= {FIRST_LOAD})"
+            1, f"(pickup_datetime IS NULL OR pickup_datetime >= {FIRST_LOAD})"
         ),
     ),
 )
@@ -211,8 +211,9 @@ def stream_dq_metrics(spark, sf_dir):
                 as_of=i.RESULTS_CLOCK,
             )
         )
+    batch = F.substring_index("run_id", "-", -1).cast("int")
     return tables.read_results(spark, f"{root}/results", "metrics").select(
-        "run_id", "metric_name", "fail_count", "total_count"
+        batch.alias("batch"), "metric_name", "fail_count", "total_count"
     )
 
 

@@ -49,6 +49,16 @@ def one_row(spark: SparkSession, **columns: Column) -> DataFrame:
     return spark.sql("SELECT 1").select(*[c.alias(n) for n, c in columns.items()])
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/millrace/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
-    return f"{shared_folder(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to its scratch folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

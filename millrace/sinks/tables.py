@@ -155,13 +155,17 @@ def upsert_snapshot(
 
 
 def read_snapshot(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
-    """The newest version (older than ``before``), or nothing."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
+    """The newest complete version (older than ``before``), or nothing."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    top = path_of(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(hadoop)]
+    names = [s.getPath().getName() for s in fs.listStatus(top)]
     versions = sorted(n for n in names if n.startswith("version="))
     if before is not None:
         versions = [v for v in versions if v < f"version={before}"]
-    return spark.read.parquet(f"{root}/{versions[-1]}") if versions else None
+    for version in reversed(versions):
+        if fs.exists(path_of(f"{root}/{version}/_SUCCESS")):
+            return spark.read.parquet(f"{root}/{version}")
+    return None

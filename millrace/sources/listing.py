@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +38,19 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     return listed.unionByName(empty).withColumn("is_empty", F.col("size") == 0)
 
 
-def latest_files(files: DataFrame, key: str, prefix: Column, keep: int = 3) -> DataFrame:
-    """The last ``keep`` files of every prefix, by key order."""
-    listed = files.withColumn("prefix", prefix)
-    return first_per_key(listed, ["prefix"], [F.col(key).desc()], keep)
+def latest_files(
+    files: DataFrame, key: str, prefix: Column, keep: int = 3, expected: Sequence[str] = ()
+) -> DataFrame:
+    """The last ``keep`` files of every prefix, by key order. An expected prefix without
+    any file gets one row with a NULL key."""
+    latest = first_per_key(
+        files.withColumn("prefix", prefix), ["prefix"], [F.col(key).desc()], keep
+    )
+    if not expected:
+        return latest
+    wanted = files.sparkSession.createDataFrame([(p,) for p in expected], "prefix string")
+    absent = wanted.join(latest, "prefix", "left_anti")
+    return latest.unionByName(absent, allowMissingColumns=True)
 
 
 def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:

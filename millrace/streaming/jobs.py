@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,18 +26,28 @@ MERGE_INTERVAL = "5 minutes"
 BatchStep = Callable[[DataFrame, str], None]
 
 
+def load_prefix(name: str, checkpoint: str) -> str:
+    """Batch numbers are unique within a checkpoint only, so load ids carry its path."""
+    return f"{name}-{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def _start(stream: DataFrame, step: BatchStep, checkpoint: str, every: str | None, name: str):
     """Run ``step(batch, load_id)`` per micro-batch. ``every=None`` takes what is there
-    and stops. Without new files no batch runs at all."""
+    and stops. Without new files no batch runs at all. A batch that runs again after a
+    failure gets the same load id."""
+    prefix = load_prefix(name, checkpoint)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        step(batch, f"{name}-{batch_id}")
+        step(batch, f"{prefix}-{batch_id}")
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(
-        processingTime=every
-    )
-    return writer.start()
+    return _triggered(writer, every).start()
+
+
+def _triggered(writer, every: str | None):
+    if every is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=every)
 
 
 def landing_stream(
@@ -197,10 +208,7 @@ def write_stream(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    writer = writer.trigger(availableNow=True) if every is None else writer.trigger(
-        processingTime=every
-    )
-    return writer.start()
+    return _triggered(writer, every).start()
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:

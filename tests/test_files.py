@@ -135,6 +135,21 @@ def test_latest_files(spark):
     ]
 
 
+def test_expected_prefix_without_files(spark):
+    files = spark.createDataFrame([("a/1",), ("a/2",)], "key string")
+    got = listing.latest_files(files, "key", F.split("key", "/")[0], 1, expected=["a", "b"])
+    assert sorted((r.prefix, r.key or "") for r in got.collect()) == [("a", "a/2"), ("b", "")]
+
+
+def test_unfinished_snapshot_version_is_ignored(spark, folder):
+    rows = spark.createDataFrame([("a", 1)], "k string, n int")
+    tables.upsert_snapshot(rows, folder, ["k"], "2024-01-01 00:00:00")
+    rows.withColumn("snapshot_at", F.lit(None).cast("timestamp_ntz")).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{folder}/version=2024-01-02T000000")
+    assert tables.read_snapshot(spark, folder).collect()[0].snapshot_at is not None
+
+
 def test_catalog(spark):
     spark.sql("SELECT 1L AS a, 'x' AS b").createOrReplaceTempView("tiny")
     tables_seen = [r.table_name for r in listing.catalog_tables(spark).collect()]

@@ -1,5 +1,6 @@
 """Streams: replays change nothing, late rows, equality with batch."""
 
+import os
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -30,19 +31,55 @@ def merge(spark, folder, state, **extra):
     )
 
 
+def forget_last_commit(state):
+    """As if the driver had died after the batch was written, before it was committed."""
+    last = max(int(n) for n in os.listdir(f"{state}/commits") if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        if os.path.exists(f"{state}/commits/{name}"):
+            os.remove(f"{state}/commits/{name}")
+
+
 def test_replayed_batches_change_nothing(spark, folder):
     trips = inputs.trips(spark, SF).limit(500)
     trips.write.option("header", True).csv(f"{folder}/in")
-    ingest(spark, folder, "first")
-    ingest(spark, folder, "second")  # no checkpoint: the same batch id runs again
+    ingest(spark, folder)
+    forget_last_commit(f"{folder}/state")
+    ingest(spark, folder)
     assert spark.read.schema(STREAMED).parquet(f"{folder}/bronze").count() == 500
-    merge(spark, folder, "silver-first", filtered=False)
+    merge(spark, folder, "merged", filtered=False)
     once = Counter(tuple(r) for r in tables.read_merged(spark, f"{folder}/silver").collect())
-    merge(spark, folder, "silver-second", filtered=False)
+    forget_last_commit(f"{folder}/merged")
+    merge(spark, folder, "merged", filtered=False)
     twice = Counter(tuple(r) for r in tables.read_merged(spark, f"{folder}/silver").collect())
     assert once == twice and sum(once.values()) == 500  # rows with a NULL key included
 
 
+def test_a_new_checkpoint_does_not_replace_earlier_loads(spark, folder):
+    trips = inputs.trips(spark, SF).limit(300)
+    trips.write.option("header", True).csv(f"{folder}/in")
+    ingest(spark, folder, "one")
+    ingest(spark, folder, "two")
+    assert spark.read.schema(STREAMED).parquet(f"{folder}/bronze").count() == 600
+
+
+def test_chain_can_check_the_new_load_only(spark, folder):
+    readings = inputs.readings(spark, SF)
+    trips = silver_filter(inputs.trips(spark, SF))
+    log = []
+    for part in (trips.where("payment_type = 'CARD'"), trips.where("payment_type <> 'CARD'")):
+        part.write.mode("append").option("header", True).csv(f"{folder}/in")
+        ingest(spark, folder)
+        then = jobs.check_and_export(
+            spark, f"{folder}/silver", readings, f"{folder}/results", f"{folder}/export",
+            CLOCK, log, whole_table=False,
+        )
+        merge(spark, folder, "merged", then=then)
+    audit = tables.read_results(spark, f"{folder}/results", "audit_log").where("check_name = 'NON_NULL'")
+    per_load = sorted(r.row_count for r in audit.collect())
+    assert len(per_load) == 2 and sum(per_load) == tables.read_merged(spark, f"{folder}/silver").count()
+    assert all(status.ok for status in log)
+
+
 def test_small_batches_equal_one_batch(spark, folder):
     trips = inputs.trips(spark, SF)
     trips.repartition(3).write.option("header", True).csv(f"{folder}/in")
