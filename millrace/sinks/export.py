@@ -67,13 +67,15 @@ def export_json(
 ) -> str:
     """Write the day's rows to ``<root>/<name>/<day>/`` as gzipped JSON lines without the
     NULL keys, replacing an earlier export of that day. Tasks write in parallel; a file is
-    cut when it holds about ``file_bytes`` of text, judged by the day's mean row length."""
+    cut when it holds about ``file_bytes`` of text, judged by the day's mean row length.
+    Rows of many small runs are gathered first."""
     path = f"{root}/{name}/{day}"
     rows = export_rows(results, keys, day)
     length = F.octet_length(json_object(*[F.col(k) for k in keys]))
     mean_bytes = rows.agg(F.avg(length)).collect()[0][0] or 1
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance")  # the day's rows may lie in many small result files
+        .write.mode("overwrite")
         .option("compression", "gzip")
         .option("ignoreNullFields", True)
         .option("maxRecordsPerFile", max(1, int(file_bytes / mean_bytes)))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalogue import inputs
-from millrace.operators import bronze
+from millrace.operators import bronze, rules
 from millrace.operators.bronze import (
     bronze_rows,
     flatten_readings,
@@ -16,6 +16,7 @@ from millrace.operators.bronze import (
     typed_trips,
     typing_rejects,
 )
+from millrace.operators.checks import run_checks
 from millrace.plans import alerts, observability
 from millrace.sinks import export, tables
 from millrace.sinks.layout import landing_path
@@ -195,6 +196,15 @@ def test_snapshot_upsert_versions(spark, folder):
         assert sorted((r.k, r.n) for r in out.collect()) == [("a", 1), ("b", 2), ("c", 2)]
 
 
+def test_violation_files_follow_their_volume(spark, folder):
+    trips = inputs.trips(spark, SF).repartition(40)
+    run = run_checks(trips, [rules.range_rule()], as_of=CLOCK, run_id="r").pinned()
+    tables.append_results(run.result, folder)
+    files = glob.glob(f"{folder}/violations/*/*/*.parquet")
+    assert len(files) == 1
+    assert tables.read_results(spark, folder, "violations").count() == 235
+
+
 def test_landing_path(spark):
     one = spark.sql("SELECT TIMESTAMP_NTZ '2024-03-05 06:07:08' AS t")
     path = one.select(landing_path("openaq", F.col("t"), "json")).collect()[0][0]
