@@ -202,7 +202,10 @@ def alert_query(spark, sf_dir):
     return alerts.newest_first(alerts.recent_failures(i.audit(spark, sf_dir), i.RESULTS_CLOCK))
 
 
-_LINE = "'• [' || table_name || '] ' || check_name || ' — ' || issue_count || ' issues / ' || row_count || ' rows'"
+_LINE = (
+    "'• [' || table_name || '] ' || check_name || ' — ' || issue_count || ' issues / ' "
+    "|| row_count || ' rows'"
+)
 
 
 @query(

@@ -13,7 +13,7 @@ from millrace.operators import rules
 from millrace.operators.checks import run_checks
 from millrace.operators.schema_check import compare_schema, payload_drift, payload_schema, schema_rule
 from millrace.plans.daily import reading_checks, run_all_checks, trip_checks
-from millrace.schemas import AUDIT, METRICS, TRIP_CONTRACT, VIOLATIONS, column_names
+from millrace.schemas import AUDIT, METRICS, VIOLATIONS, column_names
 
 SF = "/root/testdata/sf0.001"
 CLOCK = "2024-02-10 00:00:00"
