@@ -9,8 +9,8 @@ stands in. Every node has characters ``C``, tags ``T``, link characters ``LC`` a
 with zero denominators taken as 1. The density sum of a node adds the densities of its
 children (text that stands directly in a node counts as a child). The node with the largest
 sum is the main one, the smallest density on its path to the body is the threshold: every
-subtree of the body from that density up gives its own node of largest sum, and all text
-below the chosen nodes is kept. Parts that their tag, role or class names as something else
+subtree of the body from that density up gives its own node of largest sum (or the article
+element around it), and all text below the chosen nodes is kept. Parts that their tag, role or class names as something else
 than the article (menus, adverts, comments, ...) are no nodes at all.
 """
 
@@ -72,8 +72,8 @@ ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 
 class Node:
-    __slots__ = ("name", "up", "parts", "tags", "link_tags", "pruned", "chars", "link_chars",
-                 "density", "sum")
+    __slots__ = ("name", "up", "parts", "tags", "link_tags", "own_tags", "pruned", "chars",
+                 "link_chars", "density", "sum")
 
     def __init__(self, name: str, up: Node | None, pruned: bool):
         self.name, self.up, self.pruned = name, up, pruned
@@ -191,6 +191,7 @@ def measure(root: Node) -> list[Node]:
         below = [p for p in node.parts if isinstance(p, Node)]
         node.chars = sum(n for n, _ in own) + sum(p.chars for p in below)
         node.link_chars = sum(n for n, link in own if link) + sum(p.link_chars for p in below)
+        node.own_tags = node.tags
         node.tags += sum(p.tags + 1 for p in below)
         node.link_tags += sum(p.link_tags for p in below)
         node.sum = float(sum(n for n, link in own if not link))  # own text, for now
@@ -198,7 +199,7 @@ def measure(root: Node) -> list[Node]:
     for node in nodes:
         node.density = _density(node.chars, node.tags, node.link_chars, node.link_tags, share)
     for node in nodes:
-        direct = _density(int(node.sum), 1, 0, 0, share)
+        direct = _density(int(node.sum), node.own_tags, 0, 0, share)
         node.sum = direct + sum(p.density for p in node.parts if isinstance(p, Node))
     return nodes
 
@@ -220,10 +221,20 @@ def chosen(root: Node) -> list[Node]:
             below = [part]
             for node in below:
                 below += [p for p in node.parts if isinstance(p, Node)]
-            out.append(max(below, key=lambda n: n.sum))
+            found = max(below, key=lambda n: n.sum)
+            out.append(_article(found) or found)
     return out
 
 
+def _article(node: Node) -> Node | None:
+    """The outermost article around a node, where the page names one: it has the heading."""
+    found = None
+    while node is not None:
+        found = node if node.name == "article" else found
+        node = node.up
+    return found
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks below a node: white space as one space, trimmed, none empty."""
     out, text = [], []

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, html, language, packing, permutation, sharding, simhash, surrogates, warc
+from . import decontaminate, gru, html, language, packing, permutation, sharding, simhash, surrogates, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": lambda s, d: simhash.document_components(table(s, d, "documents")),
     "op5_best_fit_packing": lambda s, d: packing.pack_documents(table(s, d, "documents")),
     "op6_language": lambda s, d: language.identify(table(s, d, "documents")),
+    "op7_gru_scores": lambda s, d: gru.scores(table(s, d, "documents")),
     "op8_text_density": lambda s, d: html.extract(table(s, d, "pages")),
     "op9_seekable_warc": lambda s, d: warc.page_archive(table(s, d, "pages")),
     "op10_permutation_index": lambda s, d: permutation.neighbours(table(s, d, "embeddings")),
