@@ -45,8 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         small = (
             large.join(least, large.a == least.u)
-            .select(F.explode(F.array(F.struct("b", "m"), F.struct("a", "m"))).alias("e"))
-            .select(F.col("e.b").alias("a"), F.col("e.m").alias("b"))
+            .select(F.explode(F.array("b", "a")).alias("a"), F.col("m").alias("b"))
             .where("a <> b")
             .distinct()
         )
