@@ -24,11 +24,11 @@ from .common import stored
 
 NEAREST = 20
 MOST_PIVOTS = 1024
-ORDER = 128
+ORDER = 64
 BLOCK_ROWS = 8192
 QUERY_ROWS = 8192
 #: Share of the vectors of a block that is ranked again, and the least number.
-RERANKED, LEAST_RERANKED = 0.3, 2000
+RERANKED, LEAST_RERANKED = 0.15, 2000
 
 
 def usable(vectors: DataFrame) -> DataFrame:
