@@ -139,7 +139,8 @@ def prototypes(
             if sum(map(len, counted.values())) > CACHED_GRAMS:
                 bundle()
         bundle()
-        yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
     parts = (
         labelled.select("text", "lang")
