@@ -208,8 +208,8 @@ def chosen(root: Node) -> list[Node]:
     """The nodes that hold the main text, in page order."""
     nodes = measure(root)
     best = max(nodes, key=lambda n: n.sum)  # of equal ones the outermost
-    if best.sum <= 0:
-        return []
+    if best.sum <= 0:  # at most single characters: no density to go by
+        return [root] if root.chars else []
     threshold, node = best.density, best
     while node is not None:
         threshold, node = min(threshold, node.density), node.up
