@@ -11,19 +11,17 @@ from ..functions.bands import air_category
 from ..functions.times import clock, parsed_time
 from ..schemas import BRONZE, READINGS, TRIP_CONTRACT, conform
 
-BROADCAST_BLOCKS = 100_000
-
 
 def with_row_numbers(scan: DataFrame) -> DataFrame:
-    """1-based row number inside each file, without sorting or shuffling any file.
+    """1-based row number inside each file, without sorting any file.
 
     ``scan`` comes straight from :mod:`millrace.sources.landing` (no shuffle between):
     it has ``file_path`` and ``block_start``, and its rows are numbered as they leave the
-    scan, so the numbers rise by one inside a file block. A first pass keeps one row per
-    block (first id, row count); running sums over the blocks of a file give every block
-    its offset. Up to ``BROADCAST_BLOCKS`` blocks (about 12 TB of large files) the list
-    is fetched, which checks its size, and broadcast: the rows stay where they were read.
-    A longer list is joined on (file, block), at most one block of rows per key.
+    scan, so the numbers rise by one inside a file block. One row per block (first id, row
+    count) gives every block its offset by running sums over the blocks of a file, and is
+    joined back in the same plan; Spark broadcasts the blocks where its size check allows.
+    A row whose block has no offset (the file was split in another way meanwhile) stops the
+    job: no row is left out.
     """
     scan = scan.withColumn("scan_position", F.monotonically_increasing_id())
     blocks = scan.groupBy("file_path", "block_start").agg(
@@ -37,13 +35,16 @@ def with_row_numbers(scan: DataFrame) -> DataFrame:
     offsets = blocks.withColumn(
         "rows_before", F.coalesce(F.sum("block_rows").over(before), F.lit(0))
     ).drop("block_rows")
-    known = offsets.limit(BROADCAST_BLOCKS + 1).collect()
-    if len(known) <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(scan.sparkSession.createDataFrame(known, offsets.schema))
     number = F.col("scan_position") - F.col("first_position") + F.col("rows_before") + 1
+    lost = F.raise_error(F.concat(F.lit("file block without offset: "), F.col("file_path")))
     return (
-        scan.join(offsets, ["file_path", "block_start"])
-        .withColumn("file_row_number", number.cast("bigint"))
+        scan.join(offsets, ["file_path", "block_start"], "left")
+        .withColumn(
+            "file_row_number",
+            F.when(number.isNull() | (number < 1), lost.cast("bigint")).otherwise(
+                number.cast("bigint")
+            ),
+        )
         .drop("first_position", "rows_before", "scan_position", "block_start")
     )
 

@@ -83,13 +83,15 @@ def quarantine(
 def dedup_by_key(
     df: DataFrame, key: Sequence[str] = UNIQUE_KEY, order_by: Sequence[str] = LINEAGE
 ) -> DataFrame:
-    """One row per complete key, the first by ``order_by``.
+    """One row per complete key, the first by ``order_by``, and all rows without one.
 
     Unlike :func:`quarantine` this needs only the winners, so rows are limited to one
-    per key inside the map tasks and one shuffle is enough. Rows with an incomplete
-    key must have been filtered out (silver has none).
+    per key inside the map tasks and one shuffle is enough. Rows with an incomplete key
+    repeat nothing: all of them stay, as they do in no quarantine.
     """
-    return first_per_key(df, key, [F.col(c).asc_nulls_last() for c in order_by])
+    complete = reduce(and_, [F.col(c).isNotNull() for c in key])
+    first = first_per_key(df.where(complete), key, [F.col(c).asc_nulls_last() for c in order_by])
+    return first.unionByName(df.where(~complete))
 
 
 def dedup_latest(

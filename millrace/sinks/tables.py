@@ -146,30 +146,45 @@ def upsert_snapshot(
     """Upsert ``new`` into the snapshot table below ``root``.
 
     Every upsert writes a new version folder named by its clock and leaves the old
-    one readable; the newest folder is the table. Repeating an upsert rewrites its
-    own version.
+    one readable; the newest folder is the table. Repeating the newest upsert rewrites its
+    own version. An upsert that arrives late is merged into the newest version, row by row
+    by clock, as a revision of that version.
     """
     spark = new.sparkSession
     version = str(as_of).replace(" ", "T").replace(":", "")
-    old = read_snapshot(spark, root, before=version)
+    newest = next(iter(_versions(spark, root)), version)
+    late = newest > version
+    old = read_snapshot(spark, root, before=None if late else version)
     result = upserted(old, new, key, as_of)
-    path = f"{root}/version={version}"
+    path = f"{root}/version={_revision(newest) if late else version}"
     result.write.mode("overwrite").parquet(path)
     return spark.read.schema(result.schema).parquet(path)
 
 
-def read_snapshot(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
-    """The newest complete version (older than ``before``), or nothing."""
+def _revision(version: str) -> str:
+    """The name of the next revision: it sorts after the version and before the next one."""
+    clock_text, _, number = version.partition("_r")
+    return f"{clock_text}_r{int(number or 0) + 1:06d}"
+
+
+def _versions(spark: SparkSession, root: str) -> list[str]:
+    """Names of the complete versions, newest first."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     top = path_of(root)
     fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(top):
-        return None
+        return []
     names = [s.getPath().getName() for s in fs.listStatus(top)]
-    versions = sorted(n for n in names if n.startswith("version="))
-    if before is not None:
-        versions = [v for v in versions if v < f"version={before}"]
-    for version in reversed(versions):
-        if fs.exists(path_of(f"{root}/{version}/_SUCCESS")):
-            return spark.read.parquet(f"{root}/{version}")
+    return [
+        n.removeprefix("version=")
+        for n in sorted(names, reverse=True)
+        if n.startswith("version=") and fs.exists(path_of(f"{root}/{n}/_SUCCESS"))
+    ]
+
+
+def read_snapshot(spark: SparkSession, root: str, before: str | None = None) -> DataFrame | None:
+    """The newest complete version (older than ``before``), or nothing."""
+    for version in _versions(spark, root):
+        if before is None or version < before:
+            return spark.read.parquet(f"{root}/version={version}")
     return None

@@ -149,6 +149,8 @@ def check_and_export(
         )
         if log is not None:
             log.append(status)
+        if not status.ok:  # the batch is not committed and will be repeated
+            raise RuntimeError(status.message)
 
     return step
 
@@ -177,7 +179,7 @@ def hourly_trend_stream(metrics: DataFrame, delay: str = "1 hour") -> DataFrame:
     checks = F.count(F.lit(1))
     failed = F.count_if(~F.col("passed"))
     hours = (
-        metrics.withColumn("event_time", F.col("run_timestamp").cast("timestamp"))
+        metrics.withColumn("event_time", F.expr("CAST(CAST(run_timestamp AS STRING) || 'Z' AS TIMESTAMP)"))
         .withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 hour").alias("hour"), "table_name", "metric_name")
         .agg(
@@ -187,8 +189,10 @@ def hourly_trend_stream(metrics: DataFrame, delay: str = "1 hour") -> DataFrame:
             half_up(share_pct(failed, checks), 2).alias("avg_fail_percent"),
         )
     )
+    # the zone-free time is read as UTC on the way in and out, whatever the session's zone
+    start = "TIMESTAMP_NTZ'1970-01-01' + make_dt_interval(0, 0, 0, unix_seconds(hour.start))"
     return hours.select(
-        hour_text(F.col("hour.start")).alias("time_bucket"),
+        hour_text(F.expr(start)).alias("time_bucket"),
         "table_name",
         "metric_name",
         "total_checks",
