@@ -196,7 +196,7 @@ def bronze_append(spark, sf_dir):
     )
     tables.append_bronze(bronze_rows(csv, "CSV", i.RESULTS_CLOCK), path)
     tables.append_bronze(bronze_rows(json, "JSON", i.RESULTS_CLOCK), path)
-    bronze = tables.read_bronze(spark, path).where(F.col("raw_data").isNotNull())
+    bronze = tables.read_bronze(spark, path)
     return bronze.groupBy("source_format").agg(F.count(F.lit(1)).alias("row_count"))
 
 

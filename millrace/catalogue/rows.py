@@ -51,8 +51,7 @@ def now():
     i.over(
         "trips",
         """SELECT pickup_datetime, dropoff_datetime, passenger_count FROM trips
-WHERE coalesce(CAST(pickup_datetime AS VARCHAR), '') = ''
- OR coalesce(CAST(dropoff_datetime AS VARCHAR), '') = '' OR passenger_count IS NULL""",
+WHERE pickup_datetime IS NULL OR dropoff_datetime IS NULL OR passenger_count IS NULL""",
     ),
 )
 def null_any_predicate(spark, sf_dir):
