@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, broadcast_if_small, stored, stored_sized, text_key
+from .common import BROADCAST_BYTES, ascii_lower, broadcast_if_small, stored, stored_sized, text_key
 
 #: What stands between words: ASCII but for digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -25,12 +25,25 @@ WINDOW = 10
 LISTS = 3
 
 
+#: ``w`` without the empty ends that a split can have; no other part of it can be empty.
+_EMPTY_FIRST, _EMPTY_LAST = "CAST(w[0] = '' AS INT)", "CAST(element_at(w, -1) = '' AS INT)"
+_TRIMMED = f"slice(w, 1 + {_EMPTY_FIRST}, greatest(0, size(w) - {_EMPTY_FIRST} - {_EMPTY_LAST}))"
+
+
+def _split(rows: DataFrame, *others: str | Column) -> DataFrame:
+    """``rows`` with ``w``, the words of ``text``, of which the first and last can be empty."""
+    return rows.select(*others, F.split(F.coalesce("text", F.lit("")), BETWEEN).alias("w"))
+
+
 def word_array(rows: DataFrame, *others: str | Column) -> DataFrame:
-    """``rows`` with ``w``, the words of ``text``. Only the ends of a split can be empty."""
-    split = rows.select(*others, F.split(F.coalesce("text", F.lit("")), BETWEEN).alias("w"))
-    first, last = "CAST(w[0] = '' AS INT)", "CAST(element_at(w, -1) = '' AS INT)"
-    kept = F.expr(f"slice(w, 1 + {first}, greatest(0, size(w) - {first} - {last}))")
-    return split.withColumn("w", kept)
+    """``rows`` with ``w``, the words of ``text``."""
+    return _split(rows, *others).withColumn("w", F.expr(_TRIMMED))
+
+
+def _term(word: Column) -> Column:
+    """The term of a word as 64 bits, which join faster than texts. Should two terms share
+    them, their lists are read together, and the comparison word by word tells them apart."""
+    return F.xxhash64(F.lower(word))
 
 
 def windows(benchmark: DataFrame, length: int = WINDOW) -> DataFrame:
@@ -56,13 +69,17 @@ def windows(benchmark: DataFrame, length: int = WINDOW) -> DataFrame:
 
 def frequencies(texts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(term, n)``: occurrences in all ``texts(text)`` of the terms of ``vocabulary``."""
-    tokens = word_array(texts.select("text")).select(F.explode("w").alias("t"))
-    return (
-        tokens.select(F.lower("t").alias("term"))
-        .join(vocabulary, "term")
-        .groupBy("term")
+    # words are exploded as an expression: Spark derives a filter from an exploded column and
+    # would split every text again for it, several times
+    tokens = _split(texts.select("text")).select(F.explode(F.expr(_TRIMMED)).alias("t"))
+    listed = vocabulary.select("term", _term(F.col("term")).alias("id"))
+    counted = (
+        tokens.select(_term(F.col("t")).alias("id"))
+        .join(broadcast_if_small(stored_sized(listed.select("id").distinct(), "term-ids")), "id")
+        .groupBy("id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    return listed.join(counted, "id").select("term", "n")
 
 
 def postings(texts: DataFrame, terms: DataFrame | None = None, reach: int = WINDOW) -> DataFrame:
@@ -72,21 +89,29 @@ def postings(texts: DataFrame, terms: DataFrame | None = None, reach: int = WIND
     ``terms(term, lead)`` limits it to lists that will be read; leading terms carry up to
     ``reach`` - 1 words on either side. Without it every token is posted.
     """
-    rows = word_array(texts.select("text"), text_key(F.col("text")).alias("text_key"), "text")
-    at = rows.select("text_key", "w", F.posexplode("w").alias("pos", "t")).withColumn(
-        "term", F.lower("t")
-    )
-    at = at.withColumn("lead", F.lit(False)) if terms is None else at.join(terms, "term")
+    rows = _split(texts.select("text"), text_key(F.col("text")).alias("text_key"), "text")
+    at = rows.select(
+        "text_key", "w", F.expr(f"posexplode({_TRIMMED})").alias("pos", "t")
+    ).withColumn("id", _term(F.col("t")))
     first = F.expr(f"greatest(0, pos - {reach - 1})")
+    nearby = F.slice("w", first + F.expr(_EMPTY_FIRST) + 1, F.col("pos") + reach - first)
+    around = [(F.col("pos") - first).alias("before"), F.concat_ws(" ", nearby).alias("around")]
+    if terms is None:
+        at = at.select(F.lower("t").alias("term"), F.lit(False).alias("lead"), "text_key", "pos", *around)
+    else:
+        listed, size = stored_sized(
+            terms.select(_term(F.col("term")).alias("id"), "term", "lead"), "listed-terms"
+        )
+        if size <= BROADCAST_BYTES:
+            at = at.join(F.broadcast(listed), "id").select("term", "lead", "text_key", "pos", *around)
+        else:  # no whole text moves with each of its words
+            at = at.select("id", "text_key", "pos", *around).join(listed, "id")
     return at.select(
         "term",
         "text_key",
         "pos",
-        F.when(F.col("lead"), F.col("pos") - first).alias("before"),
-        F.when(
-            F.col("lead"),
-            F.concat_ws(" ", F.slice("w", first + 1, F.lit(2 * reach - 1))),
-        ).alias("around"),
+        F.when(F.col("lead"), F.col("before")).alias("before"),
+        F.when(F.col("lead"), F.col("around")).alias("around"),
     ).distinct()
 
 
@@ -174,10 +199,7 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(text_key, n_hit, n_items, items_sha256)`` of the texts with any window of an item."""
     cut = stored(windows(benchmark), "windows")
     vocabulary = cut.select(F.explode("terms").alias("term")).distinct()
-    counted = stored(
-        frequencies(documents, broadcast_if_small(stored_sized(vocabulary, "vocabulary"))),
-        "frequencies",
-    )
+    counted = stored(frequencies(documents, stored(vocabulary, "vocabulary")), "frequencies")
     wanted = stored(probes(cut, counted), "probes")
     terms = wanted.select(
         F.explode(
@@ -189,9 +211,7 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             )
         ).alias("t")
     ).groupBy("t.term").agg(F.max("t.lead").alias("lead"))
-    index = stored(
-        postings(documents, broadcast_if_small(stored_sized(terms, "terms"))), "postings"
-    )
+    index = stored(postings(documents, terms), "postings")
     hits = stored(phrase_matches(index, wanted), "hits")
     covered = (
         hits.select(
