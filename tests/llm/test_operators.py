@@ -173,6 +173,19 @@ def test_only_ascii_letters_lose_their_case(spark):
     assert got == {0: 0, 1: 3, 2: 3}
 
 
+@pytest.mark.parametrize("bound", [decontaminate.BROADCAST_BYTES, -1])
+def test_windows_at_the_ends_of_texts(spark, monkeypatch, bound):
+    """Separators at either end, with term lists that are broadcast and that are shuffled."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bound)
+    monkeypatch.setattr("millrace.llm.common.BROADCAST_BYTES", bound)
+    run = " ".join(f"w{i}" for i in range(12))
+    texts = [run, f"  {run}", f"{run}!", f"-- {run} --", f"a {run} b", run[:-4], f"  {run[:-8]}"]
+    docs = documents(spark, texts)
+    items = spark.createDataFrame([(1, run)], "item_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in decontaminate.report(docs, items).collect()}
+    assert got == {0: (12, 12), 1: (12, 12), 2: (12, 12), 3: (12, 12), 4: (14, 12), 5: (11, 11), 6: (10, 10)}
+
+
 def test_proximity(spark):
     index = decontaminate.postings(documents(spark, ["red a b blue", "red a b c d e f blue"]))
     pairs = spark.createDataFrame([(1, "red", "blue")], "pair_id long, term_1 string, term_2 string")
