@@ -175,7 +175,7 @@ def may_mention(text: Column) -> Column:
 def kind_of(mention: Column) -> Column:
     return (
         F.when(mention.contains("@"), "email")
-        .when(mention.rlike(r"^\p{L}+\.? \p{Lu}\p{L}"), "name")
+        .when(mention.rlike(rf"^{NAME}$"), "name")
         .when(mention.rlike(rf"^{IPV4}$"), "ipv4")
         .when(mention.rlike(rf"^{IPV6}$"), "ipv6")
         .when(mention.rlike(r"^[A-Z]{2}\d"), "iban")

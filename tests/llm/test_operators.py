@@ -227,6 +227,14 @@ def test_surrogates_leave_the_rest_alone(spark, awkward, empty):
     assert surrogates.rewrite(empty).count() == 0
 
 
+def test_names_with_apostrophe_or_hyphen(spark):
+    texts = ["Mr O'Brien came.", "Mrs D’Angelo and Mr. J-P Smith", "Mr O'BRIEN", "MR x"]
+    got = [r.text for r in surrogates.report(documents(spark, texts)).orderBy("doc_id").collect()]
+    brien = re.fullmatch(r"Mr ([A-Z][a-z]+) came\.", got[0])[1]
+    assert re.fullmatch(r"Mrs [A-Z][a-z]+ and Mr\. [A-Za-z]+ [A-Z][a-z]+", got[1])
+    assert got[2] == f"Mr {brien.upper()}" and got[3] == "MR x"
+
+
 def test_colliding_draws_are_drawn_again(spark, monkeypatch):
     from pyspark.sql import functions as F
 
