@@ -303,6 +303,41 @@ def test_gradients():
         assert abs(slope - grad[name][at]) < 2e-3 * max(1, abs(slope))
 
 
+def test_training_takes_every_token(spark, awkward, monkeypatch):
+    seen = []
+    monkeypatch.setattr(gru, "_round", lambda runs, tasks, w, rate: seen.append(runs.collect()) or w)
+    counts = gru.count_words(awkward).cache()
+    model = gru.fit(awkward, counts)
+    assert len(seen) == gru.ROUNDS
+    assert sum(len(r.run) // 2 - 1 for r in seen[0]) == sum(r.n for r in seen[0]) == model.total
+    model.tables()
+    found = Counter(x for r in seen[0] for x in np.frombuffer(r.run, "<u2")[1:].tolist())
+    want = Counter()
+    for r in awkward.collect():
+        want.update(model.look_up(gru.tokens((r.text or "").encode()))[1].tolist())
+    assert found == want
+
+
+def test_runs_of_any_length_are_trained_whole(monkeypatch):
+    monkeypatch.setattr(gru, "BATCH", 2)
+    random, inner, seen = np.random.default_rng(0), gru.gradients, []
+
+    def watched(w, before, symbols, mask, h):
+        out = inner(w, before, symbols, mask, h)
+        seen.append((before, symbols, mask, h.copy(), out[2].copy()))
+        return out
+
+    monkeypatch.setattr(gru, "gradients", watched)
+    runs = [random.integers(0, gru.HEAD, n) for n in (2, 100, 17, 18, 40)]
+    weights = gru.initial(np.ones(gru.HEAD), np.ones(gru.TAILS))
+    assert gru.train(weights, runs)[1] == sum(len(r) - 1 for r in runs)
+    pairs = lambda x, y: list(zip(x.tolist(), y.tolist()))
+    got = Counter(p for b, s, m, _, _ in seen for p in pairs(b[m > 0], s[m > 0]))
+    assert got == Counter(p for r in runs for p in pairs(r[:-1], r[1:]))
+    assert not seen[0][3].any() and seen[1][3][1].any()  # the long run goes on, the next begins
+    assert np.array_equal(seen[1][3][1], seen[0][4][1]) and not seen[1][3][0].any()
+
+
 def test_scores_against_counts(spark, awkward, empty):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = gru.scores(docs).join(docs.select("doc_id", "text"), "doc_id").collect()
