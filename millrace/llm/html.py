@@ -8,10 +8,11 @@ stands in. Every node has characters ``C``, tags ``T``, link characters ``LC`` a
 
 with zero denominators taken as 1. The density sum of a node adds the densities of its
 children (text that stands directly in a node counts as a child). The node with the largest
-sum is the main one, the smallest density on its path to the body is the threshold: every
-subtree of the body from that density up gives its own node of largest sum (or the article
-element around it), and all text below the chosen nodes is kept. Parts that their tag, role or class names as something else
-than the article (menus, adverts, comments, ...) are no nodes at all.
+sum is the main one, the smallest density on its path to the body is the threshold. From the
+body down, every node from that density up gives the node of largest sum below it (or the
+article element around that one) and is searched on in its children that are not chosen yet;
+all text below the chosen nodes is kept. Parts that their tag, role or class names as
+something else than the article (menus, adverts, comments, ...) are no nodes at all.
 """
 
 from __future__ import annotations
@@ -73,7 +74,7 @@ ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 
 class Node:
     __slots__ = ("name", "up", "parts", "tags", "link_tags", "own_tags", "pruned", "chars",
-                 "link_chars", "density", "sum")
+                 "link_chars", "density", "sum", "top")
 
     def __init__(self, name: str, up: Node | None, pruned: bool):
         self.name, self.up, self.pruned = name, up, pruned
@@ -182,7 +183,8 @@ def _density(c: int, t: int, lc: int, lt: int, page_share: float) -> float:
 
 
 def measure(root: Node) -> list[Node]:
-    """Fill in characters, densities and density sums; all nodes, parents first."""
+    """Fill in characters, densities, density sums and the node of largest sum of each
+    subtree; all nodes, parents first."""
     nodes = [root]
     for node in nodes:
         nodes += [p for p in node.parts if isinstance(p, Node)]
@@ -201,28 +203,46 @@ def measure(root: Node) -> list[Node]:
     for node in nodes:
         direct = _density(int(node.sum), node.own_tags, 0, 0, share)
         node.sum = direct + sum(p.density for p in node.parts if isinstance(p, Node))
+    for node in reversed(nodes):  # of equal sums the outermost, then the first
+        node.top = max([node, *(p.top for p in node.parts if isinstance(p, Node))], key=lambda n: n.sum)
     return nodes
 
 
 def chosen(root: Node) -> list[Node]:
     """The nodes that hold the main text, in page order."""
-    nodes = measure(root)
-    best = max(nodes, key=lambda n: n.sum)  # of equal ones the outermost
+    measure(root)
+    best = root.top
     if best.sum <= 0:  # at most single characters: no density to go by
         return [root] if root.chars else []
     threshold, node = best.density, best
     while node is not None:
         threshold, node = min(threshold, node.density), node.up
-    if best is root:
-        return [root]
-    out = []
-    for part in root.parts:
-        if isinstance(part, Node) and part.density >= threshold:
-            below = [part]
-            for node in below:
-                below += [p for p in node.parts if isinstance(p, Node)]
-            found = max(below, key=lambda n: n.sum)
-            out.append(_article(found) or found)
+    found, taken, waiting = set(), set(), [root]
+    while waiting:
+        node = waiting.pop()
+        if node in taken or node.density < threshold:
+            continue
+        if node.top not in taken:
+            top = _article(node.top) or node.top
+            found.add(top)
+            taken.update(_below(top))
+        if node not in taken:
+            waiting += [p for p in node.parts if isinstance(p, Node)]
+    out, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        if node in found:
+            out.append(node)
+        else:
+            waiting += [p for p in reversed(node.parts) if isinstance(p, Node)]
+    return out
+
+
+def _below(node: Node) -> list[Node]:
+    """A node and all nodes below it."""
+    out = [node]
+    for node in out:
+        out += [p for p in node.parts if isinstance(p, Node)]
     return out
 
 

@@ -377,6 +377,24 @@ def test_main_text(spark):
     assert html.extract(pages.limit(0)).count() == 0
 
 
+def _p(letter, n=1):
+    return "".join(f"<p>{letter * 300}</p>" for _ in range(n))
+
+
+def test_main_text_of_several_parts():
+    page = f"<body><div><section>{_p('a', 3)}</section><section>{_p('b', 2)}</section></div></body>"
+    assert html.main_text(page).split("\n\n") == ["a" * 300] * 3 + ["b" * 300] * 2
+    page = f"<div><section>{_p('b', 2)}</section><section>{_p('a', 3)}</section></div>"
+    assert html.main_text(page).split("\n\n") == ["b" * 300] * 2 + ["a" * 300] * 3
+    page = f"<main><article>{_p('a', 3)}</article><article>{_p('b', 2)}</article></main>"
+    assert html.main_text(page).split("\n\n") == ["a" * 300] * 3 + ["b" * 300] * 2
+    links = "<ul>" + "<li><a href=x>link</a></li>" * 9 + "</ul>"
+    page = f"<div><div><section>{_p('a', 3)}</section>{links}</div><section>{_p('b', 2)}</section></div>"
+    assert html.main_text(page).split("\n\n") == ["a" * 300] * 3 + ["b" * 300] * 2
+    deep = "<div>" * 3000 + _p("a", 2) + "</div>" * 3000
+    assert html.main_text(deep).split("\n\n") == ["a" * 300] * 2
+
+
 def test_archives_round_trip(spark, folder):
     big = "<p>é</p>" * 400
     rows = [(1, "http://a/ü b", big), (5, "u", big), (5, "u", big), (None, None, big), (7, "u", None), (8, "u", "x"), (9, "u", "x")]
