@@ -53,7 +53,8 @@ class WordTokens:
 
     The tokenizer never joins anything across white space, so a text's ids are those of its
     space-separated words. A word of ASCII and Latin-1 letters is split and looked up by the
-    tokenizer's own model; any other goes through the whole tokenizer.
+    tokenizer's own model; any other, and one that holds a special token, goes through the
+    whole tokenizer.
     """
 
     #: The tokenizer's own pattern (fixed value).
@@ -64,7 +65,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        #: Matches what the tokenizer takes for a special token anywhere in a word.
+        self.special = regex.compile("|".join(map(regex.escape, added)) or r"(?!)")
         self.model = self.whole.model
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
@@ -77,7 +80,8 @@ class WordTokens:
         return ids
 
     def _word(self, word: str) -> bytes:
-        if self.PLAIN.fullmatch(word) and unicodedata.is_normalized("NFC", word):
+        plain = self.PLAIN.fullmatch(word) and not self.special.search(word)
+        if plain and unicodedata.is_normalized("NFC", word):
             get = self.pieces.get
             found = [get(p) or self._piece(p) for p in self.PIECES.findall(word.lower())]
             ids = b"".join(found)

@@ -271,6 +271,18 @@ def test_tokens_equal_the_tokenizer(text):
     assert np.frombuffer(tokens.of(text), "<u4").tolist() == want
 
 
+@pytest.mark.parametrize(
+    "text", ["<|endoftext|> x", "a<|endoftext|>b", "<|startoftext|><|endoftext|>é", "<|ENDOFTEXT|> <|endo\nftext|>"]
+)
+def test_special_tokens_are_those_of_the_file(text):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(packing.tokenizer_path())
+    want = np.array(fresh.encode(text, add_special_tokens=False).ids, "<u4")
+    tokens = packing.WordTokens(packing.tokenizer_path())
+    assert tokens.of(text) == tokens.of(text) == want.tobytes()
+
+
 def test_the_fullest_bin_closes_first():
     bins = packing.BestFit(10, open_bins=2)
     assert [bins.put(n)[0] for n in (6, 8, 7, 4, 3)] == [0, 1, 2, 0, 2]
