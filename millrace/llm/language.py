@@ -186,6 +186,16 @@ def predicted(
     return of(text)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter in the sense of :func:`grams`."""
+
+    @F.pandas_udf("boolean")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
+
+    return of(text)
+
+
 def _remainder(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
@@ -203,11 +213,8 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame) -> DataFrame:
-    """The documents whose language can be told: those without any letter go."""
-    held_out = _remainder(documents["doc_id"], 4) == 2
-    languages = prototypes(documents.where(~held_out))
+    """The documents with a letter, whatever was learned. This is a test for letters only: a
+    small or unlike text is no reason to drop it, so no profile takes part."""
     row = F.struct("*").alias("row")
-    told = predicted(documents["text"], languages).alias("p")
-    return documents.select(row, told).where(
-        F.col("p.lang_pred") != UNDETERMINED
-    ).select("row.*")
+    told = has_letter(documents["text"]).alias("told")
+    return documents.select(row, told).where("told").select("row.*")

@@ -298,6 +298,14 @@ def test_language_on_held_out_texts(spark, awkward, empty):
     assert {r.doc_id for r in language.keep_identified(awkward).collect()} >= {4, 5, 8, None, 99}
 
 
+def test_unlabelled_documents_stay(spark, awkward):
+    kept = language.keep_identified(awkward.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang"))
+    assert {r.doc_id for r in kept.collect()} == {4, 5, 6, 7, 8, None, 99} and kept.count() == 11
+    held = [i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2][:3]
+    only = documents(spark, ["one two three", "4", "five"], held)  # labels in the held-out fold only
+    assert {r.doc_id for r in language.keep_identified(only).collect()} == {held[0], held[2]}
+
+
 def test_gradients():
     random = np.random.default_rng(0)
     weights = gru.initial(random.integers(1, 9, gru.HEAD).astype(float), np.ones(gru.TAILS))
