@@ -8,9 +8,12 @@ by different ones. A surrogate is drawn from a keyed hash of entity and attempt:
 * e-mail: letters for letters, digits for digits, below a reserved example domain;
 * phone: country code, separators and number of digits stay;
 * card number: first digit, separators, length, and whether the check digit is right, stay;
-* national number 000-00-0000, IBAN and IPv6: same shape; IPv4: a dotted quad;
-* names after a title: title stays, given names keep gender and script (Latin, Cyrillic,
-  Greek), family names keep script, upper case stays.
+* national number 000-00-0000 and IBAN: same shape; IPv4: a dotted quad; IPv6: eight groups,
+  whether or not the address was compressed;
+* names after a title: title stays, given names keep gender (none after Dr, Prof and the like)
+  and script (Latin, Cyrillic, Greek), family names keep script, upper case stays. Initials
+  give way to whole names. The words of such a name are replaced without a title as well in
+  the same document.
 
 All entities of the corpus are drawn for together: a draw that equals a real entity, an
 earlier surrogate or another entity's draw is a collision, and the entity draws again. The
@@ -27,27 +30,33 @@ from .common import stored, text_key
 #: Titles that announce a name, by gender.
 TITLES_M = "Mr|Mister|Herr|Monsieur|Señor|Господин|Κύριος"
 TITLES_F = "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία"
+TITLES_N = "Dr|Doctor|Prof|Professor|Mx|Rev"
+TITLES = rf"(?:(?:{TITLES_M}|{TITLES_F}|{TITLES_N})\.? )+"
 
 EMAIL = (
     r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 )
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IPV4 = rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)"
-IPV6 = r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:])"
+GROUPS = r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}"
+IPV6 = (
+    r"(?<![\w:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    rf"|(?=[A-Fa-f:]*\d)(?!(?:[0-9A-Fa-f]*:){{9}})(?:{GROUPS}::(?:{GROUPS})?|::{GROUPS}))(?![\w:])"
+)
 IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){3,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
 NATIONAL = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w.+-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\w-])"
+CARD = r"(?<![\w.+-])(?:\d{4}(?:[ -]\d{4}){3}|3[47]\d{2}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-])"
 PHONE = (
-    r"(?<![\w+])\+\d{1,3} ?\(\d{1,4}\) ?\d{2,4}[ .-]\d{2,4}(?:[.-]\d{2,4})?(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\d)"
-    r"|(?<![\w.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[.-]\d{4}(?![\w-])"
-)
-NAME = (
-    rf"(?<!\p{{L}})(?:{TITLES_M}|{TITLES_F})\.? \p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+){{0,2}}"
+    r"(?<![\w+])\+\d{1,3} ?\(\d{1,4}\) ?(?:\d{2,4}[ .-]\d{2,8}(?:[.-]\d{2,4})?|\d{6,10})(?!\d)"
+    r"|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,8}){2,5}(?!\d)"
+    r"|(?<![\w+])\+(?:\d{1,3} \d{6,12}|\d{8,15})(?!\w)"
+    r"|(?<![\w.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
 )
+WORD = r"\p{Lu}(?:[\p{L}'’-]+|(?:\.\p{Lu}){0,2}\.|(?= \p{Lu}\p{L}))"
+NAME = rf"(?<!\p{{L}}){TITLES}{WORD}(?: {WORD}){{0,2}}"
 MENTION = "|".join([EMAIL, IPV4, IPV6, IBAN, NATIONAL, CARD, PHONE, NAME])
 #: What any mention holds; a cheap test that leaves most texts alone.
-HINT = rf"[0-9@]|(?:{TITLES_M}|{TITLES_F})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|{TITLES}\p{{Lu}}"
 
 # Syllables of made-up names, by script (fixed values).
 ONSETS = {
@@ -61,12 +70,15 @@ NUCLEI = {
 ENDINGS = {
     ("latin", "given_f"): "na ra lia sa".split(),
     ("latin", "given_m"): "no ro lan ton".split(),
+    ("latin", "given_n"): "is el en ai".split(),
     ("latin", "family"): "man sen ler dt".split(),
     ("cyrillic", "given_f"): "на ра лия ся".split(),
     ("cyrillic", "given_m"): "ман рий лад тон".split(),
+    ("cyrillic", "given_n"): "ин ель ен ай".split(),
     ("cyrillic", "family"): "ко чук дзе як".split(),
     ("greek", "given_f"): "να ρα λια σα".split(),
     ("greek", "given_m"): "νος ρος λης τας".split(),
+    ("greek", "given_n"): "ις ελ εν αι".split(),
     ("greek", "family"): "ίδης άκης όγλου έας".split(),
 }
 #: So many draws fail only if a kind of entity fills its space; names grow with every draw.
@@ -162,12 +174,56 @@ class Drawing:
 
 # --- mentions ----------------------------------------------------------------
 
+#: An IPv6 address ``word`` as eight groups without leading zeros.
+SIDE = "filter(split(coalesce(get(split(lower(word), '::'), {}), ''), ':'), x -> x <> '')"
+ADDRESS = (
+    f"concat_ws(':', transform(concat({SIDE.format(0)}, array_repeat('0', greatest(0, 8 - "
+    f"size({SIDE.format(0)}) - size({SIDE.format(1)}))), {SIDE.format(1)}), "
+    "x -> coalesce(nullif(ltrim('0', x), ''), '0')))"
+)
+
+
+def name_words(name: Column) -> Column:
+    """The words of a titled name, the titles left out."""
+    return F.split(F.regexp_replace(name, rf"^{TITLES}", ""), " ")
+
+
+def _is_loud(word: Column) -> Column:
+    return (F.upper(word) == word) & word.rlike(r"\p{L}{2}")
+
 
 def mentions(text: Column) -> Column:
     """All mentions of a text, in order."""
     return F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
 
 
+def words_again(names: Column) -> Column:
+    """``(forms, name, part)`` of every word of a text's titled names, initials left out."""
+    each = F.transform(
+        names,
+        lambda name: F.transform(
+            name_words(name),
+            lambda w, i: F.struct(
+                F.array_distinct(F.array(w, F.initcap(w), F.upper(w))).alias("forms"),
+                name.alias("name"), i.alias("part"),
+            ),
+        ),
+    )
+    return F.filter(F.flatten(each), lambda a: a["forms"][0].rlike(r"\p{L}{2}"))
+
+
+def again_pattern(again: str) -> Column:
+    """What follows ``MENTION`` to find these words without a title; null if there are none."""
+    # backwards, so that a word comes before its own beginnings
+    forms = F.sort_array(
+        F.array_distinct(F.flatten(F.transform(F.col(again), lambda a: a["forms"]))), asc=False
+    )
+    one = F.concat(
+        F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}\p{N}])")
+    )
+    return F.when(F.size(forms) > 0, one)
+
+
 def may_mention(text: Column) -> Column:
     return F.coalesce(text.rlike(HINT), F.lit(False))
 
@@ -175,7 +231,7 @@ def may_mention(text: Column) -> Column:
 def kind_of(mention: Column) -> Column:
     return (
         F.when(mention.contains("@"), "email")
-        .when(mention.rlike(rf"^{NAME}$"), "name")
+        .when(mention.rlike(rf"^{TITLES}"), "name")
         .when(mention.rlike(rf"^{IPV4}$"), "ipv4")
         .when(mention.rlike(rf"^{IPV6}$"), "ipv6")
         .when(mention.rlike(r"^[A-Z]{2}\d"), "iban")
@@ -189,25 +245,34 @@ def entities(listed: DataFrame) -> DataFrame:
     """``(mention, part, kind, entity)`` of every mention in ``listed(mention)``: one part, or
     one per word of a name."""
     m = F.col("mention")
-    title = F.regexp_extract("mention", r"^(\p{L}+)", 1)
+    titles = F.regexp_extract("mention", rf"^{TITLES}", 0)
     word = F.col("word")
     script = (
         F.when(word.rlike(r"^\p{IsCyrillic}"), "cyrillic")
         .when(word.rlike(r"^\p{IsGreek}"), "greek")
         .otherwise("latin")
     )
-    gender = F.when(title.isin(TITLES_F.split("|")), "given_f").otherwise("given_m")
-    names = F.split(F.regexp_replace(m, r"^\p{L}+\.? ", ""), " ")
+    of = F.col("titles")
+    gender = (
+        F.when(of.rlike(rf"(?:^| )(?:{TITLES_F})\.? "), "given_f")
+        .when(of.rlike(rf"(?:^| )(?:{TITLES_M})\.? "), "given_m")
+        .otherwise("given_n")
+    )
+    names = name_words(m)
     parts = F.when(F.col("what") == "name", names).otherwise(F.array(m))
     digits = F.regexp_replace("word", r"[^0-9]", "")
     split = (
         listed.select("mention", kind_of(m).alias("what"))
-        .select("mention", "what", F.size(parts).alias("n"), F.posexplode(parts).alias("part", "word"))
+        .select(
+            "mention", "what", titles.alias("titles"), F.size(parts).alias("n"),
+            F.posexplode(parts).alias("part", "word"),
+        )
     )
     role = F.when(F.col("part") == F.col("n") - 1, "family").otherwise(gender)
     kind = F.when(F.col("what") == "name", F.concat_ws("_", role, script)).otherwise(F.col("what"))
     entity = (
-        F.when(F.col("what").isin("email", "ipv6"), F.lower("word"))
+        F.when(F.col("what") == "email", F.lower("word"))
+        .when(F.col("what") == "ipv6", F.expr(ADDRESS))
         .when(F.col("what") == "name", F.initcap("word"))
         .when(F.col("what") == "phone", F.concat(F.when(word.startswith("+"), "+").otherwise(""), digits))
         .when(F.col("what").isin("card", "national"), digits)
@@ -268,10 +333,12 @@ def replacements(listed: DataFrame, key: int) -> DataFrame:
     )
     loud = (F.upper("mention") == F.col("mention")) & F.col("mention").rlike(r"\p{L}")
     in_case = F.when(loud, F.upper("s")).otherwise(F.col("s"))
-    title = F.regexp_extract("mention", r"^(\p{L}+\.? )", 1)
-    words = F.expr(
-        r"transform(split(regexp_replace(mention, '^\\p{L}+\\.? ', ''), ' '), (w, i) -> "
-        "IF(upper(w) = w, upper(parts[i].surrogate), parts[i].surrogate))"
+    title = F.regexp_extract("mention", rf"^{TITLES}", 0)
+    words = F.transform(
+        name_words(F.col("mention")),
+        lambda w, i: F.when(_is_loud(w), F.upper(F.get("parts", i)["surrogate"])).otherwise(
+            F.get("parts", i)["surrogate"]
+        ),
     )
     named = F.col("kind").startswith("given") | F.col("kind").startswith("family")
     text = (
@@ -297,25 +364,44 @@ def replaced(documents: DataFrame, key: int = 20240101) -> DataFrame:
     text = documents["text"]
     keyed = documents.select(F.struct("*").alias("row"), text.alias("text"))
     hinted = may_mention(F.col("text"))
-    found = F.when(hinted, mentions(F.col("text")))
-    some = keyed.withColumn("found", found)
+    some = keyed.withColumn("found", F.when(hinted, mentions(F.col("text"))))
     mentioning = F.coalesce(F.size("found"), F.lit(0)) > 0
-    with_key = some.where(mentioning).withColumn("text_key", text_key(F.col("text")))
+    named = F.filter("found", lambda m: kind_of(m) == "name")
+    with_key = (
+        some.where(mentioning)
+        .withColumn("text_key", text_key(F.col("text")))
+        .withColumn("again", words_again(named))
+        .withColumn("pattern", F.concat(F.lit(MENTION), F.coalesce(again_pattern("again"), F.lit(""))))
+        .withColumn("found", F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
+    )
+    # a word that names again stands for its place in the titled name: (mention, place)
+    place = F.get(F.filter("again", lambda a: F.array_contains(a["forms"], F.col("said"))), F.lit(0))
     by_text = stored(
-        with_key.select("text_key", "found").distinct().select(
-            "text_key", F.posexplode("found").alias("i", "mention")
+        with_key.select("text_key", "found", "again").distinct()
+        .select("text_key", "again", F.posexplode("found").alias("i", "said"))
+        .withColumn("place", place)
+        .select(
+            "text_key", "i", "said", F.coalesce("place.name", "said").alias("mention"),
+            F.col("place.part").alias("part"),
         ),
         "mentions",
     )
     listed = stored(by_text.select("mention").distinct(), "distinct-mentions")
+    word = F.get(name_words(F.col("replacement")), F.col("part"))
+    new = (
+        F.when(F.col("part").isNull(), F.col("replacement"))
+        .when(_is_loud(F.col("said")), F.upper(word))
+        .otherwise(F.initcap(word))
+    )
     texts = (
         by_text.join(replacements(listed, key), "mention")
+        .select("text_key", "i", new.alias("replacement"))
         .groupBy("text_key")
         .agg(F.array_sort(F.collect_list(F.struct("i", "replacement"))).alias("new"))
     )
     rewritten = F.array_join(
         F.transform(
-            F.split("text", MENTION, -1),
+            F.split("text", F.col("pattern"), -1),
             lambda gap, i: F.concat(gap, F.coalesce(F.get(F.col("new"), i)["replacement"], F.lit(""))),
         ),
         "",

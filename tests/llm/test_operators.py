@@ -235,6 +235,23 @@ def test_names_with_apostrophe_or_hyphen(spark):
     assert got[2] == f"Mr {brien.upper()}" and got[3] == "MR x"
 
 
+def test_surrogates_of_common_forms(spark):
+    forms = ["2001:db8::1", "2001:0DB8:0:0:0:0:0:1", "::1", "+14155550123", "415 555 0123",
+             "+49 30 1234567", "3782 822463 10005"]
+    texts = [f"call {x} now" for x in forms] + [
+        "Dr. Jane Doe and Mr. J. Smith; Prof. Dr. Ada Poe", "Mr John Smith came. Smith said, SMITH'S hat, Smithson",
+        "std::vector a::b at 12:30", "Smith alone", "Mr Irwin İrwin, İRWIN Irwin-Poe irwin",
+    ]
+    got = [r.text for r in surrogates.report(documents(spark, texts)).orderBy("doc_id").collect()]
+    for form, text in zip(forms, got):
+        assert form not in text and text.startswith("call ") and text.endswith(" now")
+    assert got[0].lower() == got[1].lower() and re.fullmatch(r"call \d{4} \d{6} \d{5} now", got[6])
+    assert re.fullmatch(r"call \+1\d{10} now", got[3]) and re.fullmatch(r"call \d{3} \d{3} \d{4} now", got[4])
+    assert not re.search("Jane|Doe|J\\.|Smith|Ada|Poe", got[7]) and "; Prof. Dr. " in got[7]
+    new = re.match(r"Mr \S+ (\S+) came", got[8])[1]
+    assert got[8].endswith(f" {new} said, {new.upper()}'S hat, Smithson") and got[9:11] == texts[9:11]
+
+
 def test_colliding_draws_are_drawn_again(spark, monkeypatch):
     from pyspark.sql import functions as F
 
