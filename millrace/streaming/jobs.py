@@ -57,12 +57,33 @@ def landing_stream(
     *,
     columns: Sequence[str] | None = None,
     files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """New landed files, each exactly once."""
+    """New landed files, each exactly once. ``multi_line`` for JSON files that hold one
+    indented document. Malformed JSON records stay, with a NULL payload; ``rejected_count``
+    counts them and the scalars."""
     if source_format == "CSV":
         return scan_csv(spark, path, columns, stream=True, files_per_batch=files_per_batch)
     return scan_json(
-        spark, path, strip_outer_array=True, stream=True, files_per_batch=files_per_batch
+        spark,
+        path,
+        strip_outer_array=True,
+        multi_line=multi_line,
+        skip_malformed=False,
+        stream=True,
+        files_per_batch=files_per_batch,
+    )
+
+
+def rejected_count(bronze: DataFrame) -> DataFrame:
+    """How many bronze rows hold no record: malformed ones, and scalars, which indented JSON
+    read line by line leaves behind."""
+    payload = F.col("raw_data")
+    scalar = ~F.schema_of_variant(payload).rlike("^(OBJECT|ARRAY)")
+    return bronze.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(payload.isNull()).alias("malformed"),
+        F.count_if(payload.isNotNull() & scalar).alias("scalars"),
     )
 
 

@@ -3,6 +3,7 @@
 import os
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalogue import inputs
@@ -120,3 +121,21 @@ def test_metrics_stream_of_json(spark, folder):
     )
     bronze = spark.read.schema(STREAMED).parquet(f"{folder}/bronze")
     assert bronze.count() == bronze.select("file_name", "file_row_number").distinct().count() == 1000
+
+
+@pytest.mark.parametrize("multi_line, want", [(True, (2, 1, 0)), (False, None)])
+def test_indented_and_malformed_json(spark, folder, multi_line, want):
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/a.json", "w") as f:
+        f.write('[\n  {\n    "id": 1,\n    "b": [\n      2\n    ]\n  }\n]\n')
+    with open(f"{folder}/in/b.json", "w") as f:
+        f.write('{"id": \n')
+    scan = jobs.landing_stream(spark, f"{folder}/in", "JSON", multi_line=multi_line)
+    jobs.finish(jobs.stream_to_bronze(scan, "JSON", f"{folder}/bronze", f"{folder}/state", as_of=CLOCK))
+    bronze = spark.read.schema(STREAMED).parquet(f"{folder}/bronze")
+    got = jobs.rejected_count(bronze).first()
+    if want:
+        assert tuple(got) == want
+        assert [r[0] for r in bronze.selectExpr("try_variant_get(raw_data, '$.id', 'int') AS id").where("id IS NOT NULL").collect()] == [1]
+    else:  # line by line nothing is lost without being counted
+        assert got.malformed > 0 and got.scalars > 0 and got.malformed + got.scalars <= got.records
