@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru, html, language, packing, permutation, sharding, simhash, surrogates, warc
+from . import decontaminate, gru, html, language, packing, permutation, sharding, simhash, surrogates, tokencounts, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_text_density": lambda s, d: html.extract(table(s, d, "pages")),
     "op9_seekable_warc": lambda s, d: warc.page_archive(table(s, d, "pages")),
     "op10_permutation_index": lambda s, d: permutation.neighbours(table(s, d, "embeddings")),
+    "op12_pretoken_counts": lambda s, d: tokencounts.count_tokens(table(s, d, "documents")),
 }
 
 SQL: dict[str, str] = {"op3_decontamination": decontaminate.ORACLE}
