@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, gru, html, language, packing, permutation, sharding, simhash, surrogates, tokencounts, warc
+from . import (
+    centroids,
+    decontaminate,
+    gru,
+    html,
+    language,
+    packing,
+    permutation,
+    prefix_trie,
+    sharding,
+    simhash,
+    surrogates,
+    tokencounts,
+    warc,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,7 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_text_density": lambda s, d: html.extract(table(s, d, "pages")),
     "op9_seekable_warc": lambda s, d: warc.page_archive(table(s, d, "pages")),
     "op10_permutation_index": lambda s, d: permutation.neighbours(table(s, d, "embeddings")),
+    "op11_prefix_trie": lambda s, d: prefix_trie.prefix_trie(table(s, d, "conversations")),
     "op12_pretoken_counts": lambda s, d: tokencounts.count_tokens(table(s, d, "documents")),
+    "op13_ns_bounds": lambda s, d: centroids.report(table(s, d, "embeddings")),
 }
 
 SQL: dict[str, str] = {"op3_decontamination": decontaminate.ORACLE}
