@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,6 +98,23 @@ def malformed_records(spark, sf_dir):
     return landing.malformed_count(spark, i.landed(spark, sf_dir, "documents"))
 
 
+@query(
+    "copy_report",
+    i.over(
+        "readings",
+        f"""SELECT reason, text, count(*) AS n FROM (
+SELECT CASE WHEN count(*) = 1 THEN 'MALFORMED_JSON' END AS reason,
+ CASE WHEN count(*) = 1 THEN '{{"results":[{{bad' END AS text FROM readings
+ GROUP BY sensor_id, event_id // {i.READINGS_PER_DOCUMENT}) d
+WHERE reason IS NOT NULL GROUP BY reason, text""",
+    ),
+)
+def copy_report(spark, sf_dir):
+    """What the copy of the documents left out, in full and with the reason."""
+    found = landing.rejected_texts(spark, i.landed(spark, sf_dir, "documents"))
+    return found.groupBy("reason", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "file_lineage",
     i.over(
@@ -127,10 +146,24 @@ def file_lineage(spark, sf_dir):
     )
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    f"""SELECT 'nation-' || c_nationkey AS prefix,
+ CAST(ceil(count(*) / {i.FILE_LINES}) AS BIGINT) AS files, CAST(0 AS BIGINT) AS empty_files,
+ CAST(sum(strlen(c_name) + 1) AS BIGINT) AS total_size, CAST(0 AS BIGINT) AS without_time
+FROM customer GROUP BY c_nationkey
+UNION ALL SELECT 'none-' || n, 1, 1, 0, 0 FROM range({i.EMPTY_FOLDERS}) t(n)""",
+)
 def file_inventory(spark, sf_dir):
-    """Sizes and times depend on the run, so there is no SQL twin."""
-    return listing.file_inventory(spark, i.landed(spark, sf_dir, "trips"))
+    """Files, empty files and bytes for each prefix; all have a time."""
+    files = listing.file_inventory(spark, i.landed(spark, sf_dir, "prefixes"))
+    prefix = F.regexp_extract("key", "prefix=([^/]+)/", 1)
+    return files.groupBy(prefix.alias("prefix")).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if("is_empty").alias("empty_files"),
+        F.sum("size").alias("total_size"),
+        F.count_if(F.col("last_modified").isNull()).alias("without_time"),
+    )
 
 
 _HOST = "regexp_extract(url, '^(https?://[^/]+)', 1)"
@@ -162,19 +195,40 @@ _TABLES = (
     ),
 )
 def catalog_scan(spark, sf_dir):
-    """Tables and columns from the catalog, with row counts."""
-    found = None
-    for name in _TABLES:
-        rows = i.table(spark, sf_dir, name)
-        rows.createOrReplaceTempView(name)
-        columns = len(spark.catalog.listColumns(name))
-        one = rows.agg(
-            F.lit(name).alias("table_name"),
-            F.lit(columns).cast("bigint").alias("column_count"),
-            F.count(F.lit(1)).alias("row_count"),
-        )
-        found = one if found is None else found.unionByName(one)
-    return found
+    """Registered tables with their columns and the row counts that the catalog holds."""
+    database = _registered(spark, sf_dir)
+    columns = listing.catalog_columns(spark, database).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("column_count")
+    )
+    return (
+        listing.catalog_tables(spark, database)
+        .join(columns, "table_name")
+        .select("table_name", "column_count", "row_count")
+    )
+
+
+@query(
+    "catalog_columns",
+    "\nUNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, column_name,
+ CAST(row_number() OVER () AS INTEGER) AS position FROM (DESCRIBE {t})"""
+        for t in _TABLES
+        if t.startswith(("customer", "part"))
+    ),
+)
+def catalog_columns(spark, sf_dir):
+    """The columns of the tables whose names match a pattern, in order."""
+    found = listing.catalog_columns(spark, _registered(spark, sf_dir), "customer*|part*")
+    return found.select("table_name", "column_name", "position")
+
+
+def _registered(spark, sf_dir) -> str:
+    """All tables of a folder in a database of the session catalog."""
+    database = f"tables_{zlib.crc32(sf_dir.encode()):08x}"
+    listing.register_tables(
+        spark, database, {t: f"{sf_dir}/{t}.parquet" for t in _TABLES}, scratch_path(spark, "database")
+    )
+    return database
 
 
 # --- sinks -------------------------------------------------------------------------
@@ -250,9 +304,9 @@ def merge_insert_only(spark, sf_dir):
     path = scratch_path(spark, "merged")
     rows = i.silver(spark, sf_dir, lineage=True)
     lineage = ["__source_file", "__row_num"]
-    tables.merge_insert_only(first_load(rows), path, "load-1", spread_by=lineage)
-    for _ in range(2):
-        tables.merge_insert_only(rows, path, "load-2", spread_by=lineage)
+    loads = [("load-1", first_load(rows)), ("load-2", rows), ("load-2", rows)]
+    for load_id, part in loads:  # of a parquet table, cheap to read again
+        tables.merge_insert_only(part, path, load_id, spread_by=lineage, persist_source=False)
     return tables.read_merged(spark, path).select(*TRIP_NAMES)
 
 
@@ -332,11 +386,12 @@ def export_all(spark, sf_dir):
     )
 
 
+SECOND_SNAPSHOT_FROM = "1997-07-01 00:00:00"
 _SNAPSHOT = f"""
 , old_days AS (SELECT CAST(pickup_datetime AS DATE) AS trip_date, count(*) AS total_trips
  FROM silver WHERE pickup_datetime < {FIRST_LOAD} GROUP BY trip_date),
  new_days AS (SELECT CAST(pickup_datetime AS DATE) AS trip_date, count(*) AS total_trips
- FROM silver WHERE payment_type <> 'DISPUTE' GROUP BY trip_date)
+ FROM silver WHERE pickup_datetime >= TIMESTAMP '{SECOND_SNAPSHOT_FROM}' GROUP BY trip_date)
 SELECT coalesce(n.trip_date, o.trip_date) AS trip_date,
  coalesce(n.total_trips, o.total_trips) AS total_trips, n.trip_date IS NOT NULL AS is_new
 FROM new_days n FULL JOIN old_days o ON n.trip_date = o.trip_date"""
@@ -344,12 +399,13 @@ FROM new_days n FULL JOIN old_days o ON n.trip_date = o.trip_date"""
 
 @query("kpi_snapshot_upsert", i.over("silver", _SNAPSHOT))
 def kpi_snapshot_upsert(spark, sf_dir):
-    """A snapshot of the early days, then one of undisputed trips on all days: days in
-    both are updated, the others kept or appended."""
+    """A snapshot of the early days, then one of all days from some time before their end: days
+    in both are updated, earlier ones kept and later ones appended. Every trip counts."""
     root = scratch_path(spark, "snapshot")
     rows = i.silver(spark, sf_dir)
     earlier = trip_marts.daily_kpi(first_load(rows)).select("trip_date", "total_trips")
-    later = trip_marts.daily_kpi(rows.where(F.col("payment_type") != "DISPUTE"))
+    since = F.lit(SECOND_SNAPSHOT_FROM).cast("timestamp_ntz")
+    later = trip_marts.daily_kpi(rows.where(F.col("pickup_datetime") >= since))
     tables.upsert_snapshot(earlier, root, ["trip_date"], "2024-01-29 00:30:00")
     result = tables.upsert_snapshot(
         later.select("trip_date", "total_trips"), root, ["trip_date"], "2024-01-30 00:30:00"

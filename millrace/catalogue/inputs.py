@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fv
 from ..functions.bands import air_category
 from ..functions.times import clock
 from ..operators.silver import silver_filter
@@ -20,7 +21,8 @@ RESULTS_CLOCK = "2024-01-30 12:00:00"
 RESULTS_DAY = "2024-01-30"
 FIRST_LOAD_BEFORE = "1998-01-01 00:00:00"  # an earlier load holds trips before this time
 READINGS_PER_DOCUMENT = 500
-SMALL_TABLE_BYTES = 1 << 30
+INDENTED = 100  # event ids of one indented document
+FILE_LINES, EMPTY_FOLDERS = 100, 3
 _TRIP_TABLE = (
     ", ".join(f"{name} {kind}" for name, kind in TRIP_CONTRACT.items())
     + ", __source_file string, __row_num bigint"
@@ -44,15 +46,14 @@ def trips(spark: SparkSession, sf_dir: str, lineage: bool = False) -> DataFrame:
 
 
 def trip_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trips out of ``lineitem``. A small table is dealt over all cores first: its file
-    may be a single row group, which one task would have to evaluate alone."""
+    """Trips out of ``lineitem``. The lines are dealt out first: a file may be a single row
+    group, which one task would have to evaluate alone."""
     lines = table(spark, sf_dir, "lineitem").select(
         "*",
         F.col("_metadata.file_name").alias("__source_file"),
         F.col("_metadata.row_index").alias("__row_num"),
     )
-    if _stored(spark, f"{sf_dir}/lineitem.parquet")[0] < SMALL_TABLE_BYTES:
-        lines = lines.repartition(spark.sparkContext.defaultParallelism)
+    lines = lines.hint("rebalance")
     seconds = (
         (F.col("l_partkey") % 24) * 3600 + (F.col("l_suppkey") % 60) * 60 + F.col("l_orderkey") % 60
     )
@@ -235,6 +236,45 @@ def _write_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     texts.write.text(path)
 
 
+def _write_indented(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Indented documents, a file each: an array of the readings of ``INDENTED`` event ids. By
+    number, some are JSON lines, some are cut off, and some have an element that is no record."""
+    element = F.struct(
+        "event_id", "location_id", "sensor_id", F.col("pm25_value").alias("latest_value")
+    )
+    blocks = (
+        readings(spark, sf_dir)
+        .groupBy(F.floor(F.col("event_id") / INDENTED).alias("block"))
+        .agg(F.collect_list(element).alias("results"))
+    )
+    document = F.to_json("results", {"pretty": "true"})
+    kind = F.col("block") % 5
+    text = (
+        F.when(kind == 3, F.substring(document, F.lit(1), (F.length(document) / 2).cast("int")))
+        .when(kind == 4, F.concat(F.regexp_replace(document, r"\s*\]\s*$", ""), F.lit(",\n  7\n]")))
+        .when(F.col("block") % 10 == 0, F.array_join(F.transform("results", lambda r: F.to_json(r)), "\n"))
+        .otherwise(document)
+    )
+    blocks.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def _write_prefixes(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Customer names in a folder for each nation, at most ``FILE_LINES`` a file, and folders
+    that hold an empty file."""
+    names = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("nation-"), F.col("c_nationkey").cast("string")).alias("prefix"),
+        F.col("c_name").alias("value"),
+    )
+    (
+        names.repartition("prefix")
+        .write.partitionBy("prefix")
+        .option("maxRecordsPerFile", FILE_LINES)
+        .text(path)
+    )
+    for n in range(EMPTY_FOLDERS):
+        spark.createDataFrame([], "value string").coalesce(1).write.text(f"{path}/prefix=none-{n}")
+
+
 def _write_metrics(spark: SparkSession, sf_dir: str, path: str) -> None:
     metrics(spark, sf_dir).write.parquet(path)
 
@@ -248,6 +288,8 @@ _ORIGIN = {
     "trips": "lineitem",
     "reading-arrays": "events",
     "documents": "events",
+    "indented": "events",
+    "prefixes": "customer",
     "metrics": "events",
 }
 _WRITERS = {
@@ -255,9 +297,38 @@ _WRITERS = {
     "trips": _write_trip_csv,
     "reading-arrays": _write_reading_arrays,
     "documents": _write_documents,
+    "indented": _write_indented,
+    "prefixes": _write_prefixes,
     "metrics": _write_metrics,
 }
 
+# --- bands as SQL: the fixed ladders, in their order ------------------------------
+
+
+def ladder(bands, test: str, rest: str, missing: str = "") -> str:
+    """A CASE of ``(edge, label)`` pairs; ``test`` has a place for the edge."""
+    steps = " ".join(f"WHEN {test.format(edge)} THEN '{label}'" for edge, label in bands)
+    return f"CASE {missing} {steps} ELSE '{rest}' END"
+
+
+def air_sql(value: str) -> str:
+    missing = f"WHEN {value} IS NULL THEN '{fv.AIR_MISSING}'"
+    return ladder(fv.AIR_BANDS, value + " > {}", fv.AIR_LOWEST, missing)
+
+
+def fare_sql(fare: str) -> str:
+    missing = f"WHEN {fare} IS NULL THEN '{fv.FARE_MISSING}'"
+    return ladder(fv.FARE_BANDS, fare + " < {}", fv.FARE_HIGHEST, missing)
+
+
+def freshness_sql(moment: str, now: str) -> str:
+    return ladder(fv.FRESHNESS_BANDS, f"{moment} >= {now} - INTERVAL {{}} DAY", fv.FRESHNESS_OLDEST)
+
+
+def score_sql(score: str) -> str:
+    return ladder(fv.SCORE_BANDS, score + " < {}", fv.SCORE_TOP, f"WHEN {score} IS NULL THEN NULL")
+
+
 # --- the same views as SQL -----------------------------------------------------
 
 _VIEWS = {
@@ -300,10 +371,7 @@ SELECT event_id, CASE WHEN user_id % 41 = 0 THEN NULL ELSE user_id % 20 END AS l
  CASE WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS reading_time
 FROM events""",
     "readings": """
-SELECT *, CASE WHEN pm25_value IS NULL THEN 'NO_DATA' WHEN pm25_value <= 15 THEN 'GOOD'
-  WHEN pm25_value <= 35 THEN 'MODERATE' WHEN pm25_value <= 55 THEN 'UNHEALTHY_SENSITIVE'
-  WHEN pm25_value <= 150 THEN 'UNHEALTHY' WHEN pm25_value <= 250 THEN 'VERY_UNHEALTHY'
-  ELSE 'HAZARDOUS' END AS who_category
+SELECT *, """ + air_sql("pm25_value") + """ AS who_category
 FROM bare_readings""",
     "audit": f"""
 SELECT event_id AS log_id, ts AS run_timestamp, {_RESULT_TABLE}, event_type AS check_name,
@@ -352,5 +420,8 @@ def mean(column: str) -> str:
 
 
 def exact(column: str) -> str:
-    total = f"CAST(sum(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
+    """The mean from an exact sum, in units of 2 ** -70: the tables' values are whole numbers
+    of those, and their sum has 128 bits."""
+    unit = "CAST(1180591620717411303424 AS DOUBLE)"
+    total = f"CAST(sum(CAST(({column}) * {unit} AS HUGEINT)) AS DOUBLE) / {unit}"
     return f"({total} / nullif(count({column}), 0))"

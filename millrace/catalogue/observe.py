@@ -212,12 +212,13 @@ _LINE = (
     "alert_message",
     i.over(
         "audit",
-        f""", f AS ({_FAILURES})
-SELECT CAST(0 AS BIGINT) AS part, count(*) AS failures,
- '🔴 DQ ALERT — ' || count(*) || ' FAIL(s) detected' AS subject,
- count(*) || ' critical failure(s):' || chr(10) || chr(10)
+        f""", f AS ({_FAILURES}),
+ placed AS (SELECT *, (row_number() OVER (ORDER BY run_timestamp DESC, log_id DESC) - 1)
+   // {alerts.LINES_PER_PART} AS part, count(*) OVER () AS failures FROM f)
+SELECT part, failures, '🔴 DQ ALERT — ' || failures || ' FAIL(s) detected' AS subject,
+ failures || ' critical failure(s):' || chr(10) || chr(10)
   || string_agg({_LINE}, chr(10) ORDER BY run_timestamp DESC, log_id DESC) AS message
-FROM f HAVING count(*) > 0""",
+FROM placed GROUP BY part, failures""",
     ),
 )
 def alert_message(spark, sf_dir):

@@ -77,6 +77,47 @@ def stream_bronze(spark, sf_dir):
     )
 
 
+_BLOCK = f"event_id // {i.INDENTED}"
+
+
+@query(
+    "stream_dead_letters",
+    i.over(
+        "readings",
+        f"""SELECT 'record' AS outcome, NULL AS reason, count(*) AS n,
+ CAST(sum(event_id) AS BIGINT) AS event_ids FROM readings WHERE {_BLOCK} % 5 <> 3
+UNION ALL SELECT 'dead', CASE {_BLOCK} % 5 WHEN 3 THEN 'MALFORMED_JSON' ELSE 'NOT_A_RECORD' END,
+ count(DISTINCT {_BLOCK}), NULL FROM readings WHERE {_BLOCK} % 5 IN (3, 4) GROUP BY 2""",
+    ),
+)
+def stream_dead_letters(spark, sf_dir):
+    """Indented documents, JSON lines and broken documents in one stream: what is a record goes
+    to bronze, what is none to the dead letters of the same batch, with the whole text."""
+    root = scratch_path(spark, "dead-letters")
+    source = i.landed(spark, sf_dir, "indented")
+    jobs.finish(
+        jobs.stream_records(
+            jobs.records_stream(spark, source),
+            "JSON",
+            f"{root}/bronze",
+            f"{root}/state",
+            as_of=i.RESULTS_CLOCK,
+        )
+    )
+    event = F.variant_get("raw_data", "$.event_id", "bigint")
+    taken = tables.read_records(spark, f"{root}/bronze").agg(
+        F.lit(tables.RECORD).alias("outcome"),
+        F.lit(None).cast("string").alias("reason"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum(event).alias("event_ids"),
+    )
+    letters = tables.dead_letters(spark, f"{root}/bronze").where("text IS NOT NULL")
+    dead = letters.groupBy(F.lit(tables.DEAD).alias("outcome"), "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("event_ids")
+    )
+    return taken.unionByName(dead)
+
+
 @query(
     "stream_gate",
     i.over(

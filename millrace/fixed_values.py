@@ -26,17 +26,6 @@ TRIP_COLUMNS = [
     ("total_amount", "decimal(18,2)"),
 ]
 
-# --- fixed values: fields of one element of the `results` array --------------
-READING_FIELDS = [
-    ("location_id", "bigint"),
-    ("sensor_id", "bigint"),
-    ("parameter", "string"),
-    ("unit", "string"),
-    ("latest_value", "double"),
-    ("latest_time", "string"),
-    ("coverage_pct", "double"),
-]
-
 # --- fixed values: limits ----------------------------------------------------
 FARE_LOW, FARE_HIGH = 0, 500
 LATITUDE_BOUNDS = (-90, 90)
@@ -74,6 +63,7 @@ FARE_BANDS = [  # strictly below the edge, first match wins
     (100, "$50–$100"),
 ]
 FARE_HIGHEST = "> $100"
+FARE_MISSING = "no fare"
 
 FRESHNESS_BANDS = [  # at most this many days old
     (1, "✅ Fresh"),

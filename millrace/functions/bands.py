@@ -27,7 +27,9 @@ def air_category(value: Column, missing: Column | None = None) -> Column:
 
 
 def fare_bucket(fare: Column) -> Column:
-    return band(fv.FARE_BANDS, lambda edge: fare < F.lit(edge), fv.FARE_HIGHEST)
+    """A missing fare has a band of its own."""
+    graded = band(fv.FARE_BANDS, lambda edge: fare < F.lit(edge), fv.FARE_HIGHEST)
+    return F.when(fare.isNull(), fv.FARE_MISSING).otherwise(graded)
 
 
 def freshness_label(moment: Column, as_of: Column) -> Column:
@@ -40,7 +42,9 @@ def freshness_label(moment: Column, as_of: Column) -> Column:
 
 
 def score_colour(score: Column) -> Column:
-    return band(fv.SCORE_BANDS, lambda edge: score < F.lit(edge), fv.SCORE_TOP)
+    """Colour of a health score; an unknown score has none."""
+    graded = band(fv.SCORE_BANDS, lambda edge: score < F.lit(edge), fv.SCORE_TOP)
+    return F.when(score.isNotNull(), graded)
 
 
 def severity(issues: Column, raised: str = "MEDIUM") -> Column:

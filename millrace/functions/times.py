@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -88,3 +88,12 @@ def on_day(moment: Column, day: Column) -> Column:
     """Same calendar day, as a half-open range so that it can be pushed down."""
     start = midnight(day)
     return (moment >= start) & (moment < shifted(start, days=1))
+
+
+def on_run_days(results: DataFrame, first: Column, last: Column | None = None) -> DataFrame:
+    """Rows of the days ``first`` to ``last``, by the partition column ``run_date`` of a stored
+    result table, so that other days are not opened. A frame without it stays as it is."""
+    if "run_date" not in results.columns:
+        return results
+    day = F.col("run_date")
+    return results.where((day >= first) & (day <= (first if last is None else last)))

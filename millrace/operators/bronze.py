@@ -17,13 +17,14 @@ def with_row_numbers(scan: DataFrame) -> DataFrame:
 
     ``scan`` comes straight from :mod:`millrace.sources.landing` (no shuffle between):
     it has ``file_path`` and ``block_start``, and its rows are numbered as they leave the
-    scan, so the numbers rise by one inside a file block. One row per block (first id, row
+    scan (or were, as ``scan_position``), so the numbers rise by one inside a file block. One row per block (first id, row
     count) gives every block its offset by running sums over the blocks of a file, and is
     joined back in the same plan; Spark broadcasts the blocks where its size check allows.
     A row whose block has no offset (the file was split in another way meanwhile) stops the
     job: no row is left out.
     """
-    scan = scan.withColumn("scan_position", F.monotonically_increasing_id())
+    if "scan_position" not in scan.columns:
+        scan = scan.withColumn("scan_position", F.monotonically_increasing_id())
     blocks = scan.groupBy("file_path", "block_start").agg(
         F.min("scan_position").alias("first_position"), F.count(F.lit(1)).alias("block_rows")
     )

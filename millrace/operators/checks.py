@@ -1,8 +1,8 @@
 """Data-quality checks: one shared aggregate per table, one scan for violations.
 
 A :class:`Check` names the counters it needs as aggregate expressions. All checks
-of a table are merged into a single ``agg``, so a table is scanned once for every
-count of every check. Audit and metric rows are projections of that one-row frame.
+of a table are merged into a single aggregation, so a table is scanned once for every
+count and exact mean of every check. Audit and metric rows are projections of that one-row frame.
 Violations of all rules come from a second scan that tags each bad row with the
 rules it breaks.
 """
@@ -24,6 +24,7 @@ from ..functions.text import json_object
 from ..functions.times import clock
 from ..schemas import AUDIT, METRICS, VIOLATIONS, conform
 from ..session import one_row
+from .exact import ExactMean, Parts, aggregate
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,8 @@ class FromCounter:
 class Check:
     """A rule over one table.
 
-    ``counters`` are aggregates over the table, shared by name between checks.
+    ``counters`` are aggregates over the table, shared by name between checks: counts, and
+    what :mod:`millrace.operators.exact` puts together from parts.
     ``failed``, ``summary``, ``message``, ``details`` and the metrics are expressions
     over those counters. ``violation`` is a predicate over the table's rows (NULL means
     "no violation"); ``fields`` is what a violation row records. ``table_fields``
@@ -61,7 +63,7 @@ class Check:
     name: str
     rule: str
     table: str
-    counters: dict[str, Column]
+    counters: dict[str, Column | Parts | ExactMean]
     total: str
     issues: str
     failed: Column
@@ -117,13 +119,15 @@ class TableChecks:
     @cached_property
     def counts(self) -> DataFrame:
         """One row with every counter of every check."""
-        merged: dict[str, Column] = {}
+        merged: dict[str, Column | Parts | ExactMean] = {}
         for check in self.checks:
             for name, expr in check.counters.items():
                 if name in merged and str(merged[name]) != str(expr):
                     raise ValueError(f"counter {name!r} is defined twice, differently")
                 merged[name] = expr
-        return self.table.agg(*[expr.alias(name) for name, expr in merged.items()])
+        if all(isinstance(expr, Column) for expr in merged.values()):
+            return self.table.agg(*[expr.alias(name) for name, expr in merged.items()])
+        return aggregate(self.table, [], merged)
 
     def pinned(self) -> TableChecks:
         """The same run with its counters evaluated, so that audit, metrics and

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.bands import air_category
-from ..functions.numbers import exact_mean, fail_percent, half_up, number_text
+from ..functions.numbers import fail_percent, half_up, number_text
 from ..functions.predicates import any_null, bad_coordinates, outside_open_range
 from ..functions.text import counted
 from ..functions.times import clock, days_between, shifted, time_text
 from .checks import Check, FromCounter, Metric
+from .exact import ExactMean
 
 LATITUDES = ["pickup_latitude", "dropoff_latitude"]
 LONGITUDES = ["pickup_longitude", "dropoff_longitude"]
@@ -316,7 +317,7 @@ def threshold_rule(
             "readings_with_value": F.count(value),
             "above_limit": F.count_if(value > limit),
             "hazardous_rows": F.count_if(value > hazardous),
-            "mean_value": half_up(exact_mean(value), 2),
+            "mean_value": ExactMean(value, lambda mean: half_up(mean, 2)),
         },
         total="readings_with_value",
         issues="above_limit",

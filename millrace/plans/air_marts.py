@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.bands import freshness_label
-from ..functions.numbers import exact_mean, half_up, share_pct
+from ..functions.numbers import half_up, share_pct
 from ..functions.times import clock, days_between
+from ..operators import exact
 
 VALUE = "pm25_value"
 
@@ -19,37 +20,47 @@ def _above(limit: float) -> Column:
     return F.count_if(F.col(VALUE) > limit)
 
 
+def _mean(value: Column) -> exact.ExactMean:
+    return exact.ExactMean(value, lambda mean: half_up(mean, 1))
+
+
 def location_kpi(readings: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """Per location, parameter and unit. ``worst_category`` is the alphabetical
     maximum of the labels; ``worst_category_by_value`` is the category of the highest
     value."""
     value = F.col(VALUE)
-    return (
-        readings.where(value.isNotNull())
-        .groupBy("location_id", "parameter", "unit")
-        .agg(
-            F.count(F.lit(1)).alias("sensor_count"),
-            half_up(exact_mean(value), 1).alias("avg_pm25"),
-            half_up(F.max(value), 1).alias("max_pm25"),
-            half_up(F.min(value), 1).alias("min_pm25"),
-            F.max("reading_time").alias("latest_reading"),
-            F.count_if(value.isNull()).alias("null_count"),
-            _above(fv.WHO_LIMIT).alias("above_who_threshold"),
-            _above(fv.HAZARDOUS_LIMIT).alias("hazardous_count"),
-            F.max("who_category").alias("worst_category"),
-            F.max_by("who_category", value).alias("worst_category_by_value"),
-        )
-        .withColumn(
-            "days_since_last_reading", days_between(F.col("latest_reading"), clock(as_of))
-        )
+    per_location = exact.aggregate(
+        readings.where(value.isNotNull()),
+        ["location_id", "parameter", "unit"],
+        {
+            "sensor_count": F.count(F.lit(1)),
+            "avg_pm25": _mean(value),
+            "max_pm25": exact.largest(value),
+            "min_pm25": exact.smallest(value),
+            "latest_reading": exact.largest(F.col("reading_time")),
+            "null_count": F.count_if(value.isNull()),
+            "above_who_threshold": _above(fv.WHO_LIMIT),
+            "hazardous_count": _above(fv.HAZARDOUS_LIMIT),
+            "worst_category": exact.largest(F.col("who_category")),
+            "worst_category_by_value": exact.largest_of(F.col("who_category"), value),
+        },
+    )
+    days = days_between(F.col("latest_reading"), clock(as_of))
+    return per_location.withColumns(
+        {
+            "max_pm25": half_up(F.col("max_pm25"), 1),
+            "min_pm25": half_up(F.col("min_pm25"), 1),
+            "days_since_last_reading": days,
+        }
     )
 
 
 def category_distribution(readings: DataFrame) -> DataFrame:
     """Readings per category. The share runs over the handful of category rows."""
-    per_category = readings.groupBy("who_category").agg(
-        F.count(F.lit(1)).alias("sensor_count"),
-        half_up(exact_mean(F.col(VALUE)), 1).alias("avg_pm25_in_category"),
+    per_category = exact.aggregate(
+        readings,
+        ["who_category"],
+        {"sensor_count": F.count(F.lit(1)), "avg_pm25_in_category": _mean(F.col(VALUE))},
     )
     everything = F.sum("sensor_count").over(Window.partitionBy())
     return per_category.withColumn(
@@ -73,11 +84,16 @@ def freshness(readings: DataFrame, as_of: dt.datetime | str) -> DataFrame:
 def who_breaches(readings: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """One row over all readings."""
     value = F.col(VALUE)
-    return readings.agg(
-        F.count(F.lit(1)).alias("total_sensors"),
-        F.count(value).alias("sensors_with_data"),
-        _above(fv.WHO_LIMIT).alias("above_who_threshold"),
-        _above(fv.HAZARDOUS_LIMIT).alias("hazardous_readings"),
-        half_up(exact_mean(value), 1).alias("overall_avg_pm25"),
-        half_up(share_pct(_above(fv.WHO_LIMIT), F.count(value)), 1).alias("pct_above_who"),
-    ).withColumn("summary_ts", clock(as_of))
+    counted = exact.aggregate(
+        readings,
+        [],
+        {
+            "total_sensors": F.count(F.lit(1)),
+            "sensors_with_data": F.count(value),
+            "above_who_threshold": _above(fv.WHO_LIMIT),
+            "hazardous_readings": _above(fv.HAZARDOUS_LIMIT),
+            "overall_avg_pm25": _mean(value),
+        },
+    )
+    share = share_pct(F.col("above_who_threshold"), F.col("sensors_with_data"))
+    return counted.withColumns({"pct_above_who": half_up(share, 1), "summary_ts": clock(as_of)})

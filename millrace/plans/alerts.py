@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
-from ..functions.times import clock, within_minutes
+from ..functions.times import clock, on_run_days, shifted, within_minutes
 from ..session import one_row
 
 LINES_PER_PART = 500
@@ -24,7 +24,8 @@ def recent_failures(
 ) -> DataFrame:
     """Failed checks with more than ``issues`` issues in the last ``minutes``."""
     moment, now = F.col("run_timestamp"), clock(as_of)
-    return audit.where(
+    listed = on_run_days(audit, F.to_date(shifted(now, minutes=-minutes)), F.to_date(now))
+    return listed.where(
         (F.col("status") == "FAIL")
         & (F.col("issue_count") > issues)
         & within_minutes(moment, now, minutes)
@@ -73,14 +74,28 @@ def alert_messages(
 ) -> DataFrame:
     """The alert text, newest line first; no row when nothing failed.
 
-    Up to ``lines_per_part`` failures make one message. More are dealt over as many
-    parts as needed by a hash of the log id, so every line is sent once and no task
-    ever joins more than about one part. The total count is in every subject.
+    Part 0 holds the newest ``lines_per_part`` failures, part 1 those before, and so on: every
+    line is sent once and no task joins more than a part. Failures are numbered inside their
+    second; the seconds, 3,600 an hour, give the offset. The total count is in every subject.
     """
-    total = failures.agg(F.count(F.lit(1))).scalar()
-    parts = F.greatest(F.ceil(total / F.lit(lines_per_part)).cast("bigint"), F.lit(1))
-    dealt = failures.withColumns(
-        {"part": F.pmod(F.xxhash64("log_id"), parts), "failures": total}
+    newest = [F.col("run_timestamp").desc(), F.col("log_id").desc()]
+    by_second = failures.withColumn("second", F.date_trunc("second", "run_timestamp"))
+    newer = Window.partitionBy().orderBy(F.desc("second")).rowsBetween(Window.unboundedPreceding, -1)
+    seconds = (
+        by_second.groupBy("second")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            "second",
+            F.coalesce(F.sum("n").over(newer), F.lit(0)).alias("before"),
+            F.sum("n").over(Window.partitionBy()).alias("failures"),
+        )
+    )
+    within = F.row_number().over(Window.partitionBy("second").orderBy(*newest))
+    place = F.col("before") + F.col("place") - 1
+    dealt = (
+        by_second.withColumn("place", within)
+        .join(seconds, "second")
+        .withColumn("part", F.floor(place / lines_per_part))
     )
     count = F.col("failures").cast("string")
     return join_lines(dealt, ["part", "failures"]).select(

@@ -17,6 +17,7 @@ from ..functions.times import (
     hour_text,
     midnight,
     minutes_between,
+    on_run_days,
     within_days,
 )
 from .air_marts import who_breaches
@@ -69,7 +70,8 @@ def violations_by_type(audit: DataFrame) -> DataFrame:
 
 def _recent(metrics: DataFrame, as_of: dt.datetime | str, days: int) -> DataFrame:
     moment, now = F.col(RUN), clock(as_of)
-    return metrics.where(within_days(moment, now, days) & (moment <= now))
+    listed = on_run_days(metrics, F.date_sub(F.to_date(now), days), F.to_date(now))
+    return listed.where(within_days(moment, now, days) & (moment <= now))
 
 
 def gold_matrix(
@@ -104,7 +106,8 @@ def trend_rows(metrics: DataFrame) -> DataFrame:
 def scorecard_today(metrics: DataFrame, as_of: dt.datetime | str) -> DataFrame:
     """One row for the clock's day so far."""
     moment, now = F.col(RUN), clock(as_of)
-    return metrics.where((moment >= midnight(now)) & (moment <= now)).agg(
+    today = on_run_days(metrics, F.to_date(now))
+    return today.where((moment >= midnight(now)) & (moment <= now)).agg(
         _checks().alias("total_checks"),
         _passed().alias("passed_checks"),
         _failed().alias("failed_checks"),

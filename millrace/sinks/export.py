@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions.text import json_object
-from ..functions.times import clock, on_day, time_text
+from ..functions.times import clock, on_day, on_run_days, time_text
 
 # fixed values: exported keys, in order
 AUDIT_KEYS = [
@@ -53,7 +53,9 @@ def _export_field(df: DataFrame, name: str) -> Column:
 
 def export_rows(results: DataFrame, keys: list[str], day: dt.date | str) -> DataFrame:
     """The result rows of ``day`` with the exported keys; details become an object."""
-    today = results.where(on_day(F.col("run_timestamp"), clock(day)))
+    today = on_run_days(results, F.to_date(clock(day))).where(
+        on_day(F.col("run_timestamp"), clock(day))
+    )
     return today.select(*[_export_field(results, k) for k in keys])
 
 

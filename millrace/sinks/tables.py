@@ -1,30 +1,29 @@
 """Result tables, bronze, silver and keyed snapshots on parquet.
 
-Parquet has no transactions. One writer per table is assumed; a repeated write of
-the same run or load replaces what that run or load wrote, and nothing else.
+Parquet has no transactions. Results and silver are listed by a manifest, bronze is
+partitioned by load. One writer per table is assumed; a repeated write of the same run or load
+leaves what that run or load wrote, once, and nothing else.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.times import clock
 from ..operators.checks import CheckResult
 from ..operators.silver import MERGE_KEY, dedup_latest, merge_rows
-from ..schemas import AUDIT, BRONZE, METRICS, VIOLATIONS
+from ..operators.skew import spreadable
+from ..schemas import AUDIT, BRONZE, METRICS, VIOLATIONS, conform
+from . import manifest
 
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+SMALL_FILES = 64  # more small files than this are rewritten
+FILE_ROWS = 4_000_000  # rows of a rewritten file
 
 
 def append_bronze(rows: DataFrame, path: str) -> None:
@@ -36,35 +35,128 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BRONZE).parquet(path)
 
 
+#: Records and dead letters of landed texts, side by side.
+RECORD, DEAD = "record", "dead"
+LANDED_RECORDS = f"{BRONZE}, element int, reason string, text string, outcome string, load_id string"
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The records of landed texts, in the bronze shape."""
+    rows = spark.read.schema(LANDED_RECORDS).parquet(path).where(F.col("outcome") == RECORD)
+    return conform(rows, BRONZE)
+
+
+def dead_letters(spark: SparkSession, path: str) -> DataFrame:
+    """Landed texts, or elements of their arrays, that are no records: where they were, why they
+    were not taken, and the text itself."""
+    rows = spark.read.schema(LANDED_RECORDS).parquet(path).where(F.col("outcome") == DEAD)
+    return rows.select(
+        "file_name", "file_row_number", "element", "reason", "text", "load_timestamp", "load_id"
+    )
+
+
+#: The three result frames, their time columns and schemas.
+_RESULTS = {
+    "audit_log": ("run_timestamp", AUDIT),
+    "metrics": ("run_timestamp", METRICS),
+    "violations": ("detected_at", VIOLATIONS),
+}
+_RESULT_SCHEMA = ", ".join(dict.fromkeys(", ".join(s for _, s in _RESULTS.values()).split(", ")))
+
+
 def append_results(result: CheckResult, root: str) -> None:
-    """Write the three result frames, one partition per (day, run). Writing the same
-    run again replaces its partition.
+    """Commit the three result frames of a run together: readers see all of them or none.
+    Writing a run again replaces its rows.
 
     Violations come straight from the table scan, a few out of every task. They are
     rebalanced first, so that the number of files follows their volume and not the
-    number of scan tasks."""
-    for name, frame, moment in (
-        ("audit_log", result.audit, "run_timestamp"),
-        ("metrics", result.metrics, "run_timestamp"),
-        ("violations", result.violations.hint("rebalance"), "detected_at"),
-    ):
-        (
-            frame.withColumn("run_date", F.to_date(moment))
-            .withColumn("run_key", F.col("run_id"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_date", "run_key")
-            .parquet(f"{root}/{name}")
-        )
+    number of scan tasks. Days with many files are rewritten into a few."""
+    spark = result.audit.sparkSession
+    frames = (result.audit, result.metrics, result.violations.hint("rebalance"))
+    rows = [
+        conform(frame.withColumns({"kind": F.lit(kind), "run_date": F.to_date(moment)}), _STORED)
+        for (kind, (moment, _)), frame in zip(_RESULTS.items(), frames)
+    ]
+    table = manifest.newest(spark, root)
+    added = _result_files(reduce(DataFrame.unionByName, rows), root).persist()
+    try:
+        runs = [r.run_id for r in added.select(F.explode("runs").alias("run_id")).distinct().collect()]
+        files = added
+        if table is not None:
+            again = F.arrays_overlap("runs", F.array(*map(F.lit, runs))) if runs else F.lit(False)
+            files = files.unionByName(table.files.where(~again))
+            shared = table.files.where(again & (F.size("runs") > 1))
+            if not shared.isEmpty():  # rewritten files hold other runs as well
+                others = _stored_results(spark, root, shared).where(~F.col("run_id").isin(runs))
+                files = files.unionByName(_result_files(others, root))
+        _publish_results(spark, root, files, table)
+    finally:
+        added.unpersist()
+    compact_results(spark, root)
+
+
+_STORED = f"{_RESULT_SCHEMA}, kind string, run_date date"
+
+
+def _result_files(rows: DataFrame, root: str) -> DataFrame:
+    """Write a commit of result rows; its manifest rows."""
+    spark, commit = rows.sparkSession, f"commit={manifest.new_commit()}"
+    path = manifest.data_path(root, commit)
+    rows.write.partitionBy("kind", "run_date").parquet(path)
+    name = F.regexp_extract(F.col("_metadata.file_path"), f"{commit}/(.*)$", 1)
+    stored = spark.read.schema(_STORED).parquet(path)
+    return stored.groupBy(name.alias("name"), "kind", "run_date").agg(
+        F.lit(commit).alias("commit"),
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set("run_id").alias("runs"),  # the runs of a day at most
+    )
 
 
-_RESULT_SCHEMAS = {"audit_log": AUDIT, "metrics": METRICS, "violations": VIOLATIONS}
+def _publish_results(spark, root: str, files: DataFrame, after: manifest.Version | None) -> None:
+    loads = spark.createDataFrame([], "load_id string")  # runs are listed with their files
+    manifest.publish(spark, root, files, loads, after)
+    manifest.expire(spark, root)
 
 
-def read_results(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A result table with its ``run_date``; filter on that to prune partitions."""
-    schema = f"{_RESULT_SCHEMAS[name]}, run_date date, run_key string"
-    return spark.read.schema(schema).parquet(f"{root}/{name}").drop("run_key")
+def _stored_results(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    schema = StructType.fromDDL(f"{_STORED}, commit string")
+    listed = manifest.paths(root, files)
+    return manifest.read_files(spark, schema, listed, base=f"{root}/data").drop("commit")
+
+
+def compact_results(spark: SparkSession, root: str, small_files: int = SMALL_FILES) -> bool:
+    """Rewrite the files of days that have more than ``small_files`` of one frame, by their
+    volume. True if files were rewritten."""
+    table = manifest.newest(spark, root)
+    day = Window.partitionBy("kind", "run_date")
+    marked = table.files.withColumn("many", F.count(F.lit(1)).over(day) > small_files)
+    if marked.where("many").isEmpty():
+        return False
+    rows = _stored_results(spark, root, marked.where("many")).hint("rebalance", "kind", "run_date")
+    files = marked.where("NOT many").drop("many").unionByName(_result_files(rows, root))
+    _publish_results(spark, root, files, table)
+    return True
+
+
+def read_results(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    first_day: dt.date | str | None = None,
+    last_day: dt.date | str | None = None,
+) -> DataFrame:
+    """A result table with its ``run_date``, as of the newest commit when called. Only files of
+    the wanted days are listed; a filter on ``run_date`` prunes among them."""
+    schema = f"{_RESULTS[name][1]}, run_date date"
+    table = manifest.newest(spark, root)
+    if table is None:
+        return spark.createDataFrame([], schema)
+    files = table.files.where(F.col("kind") == name)
+    if first_day is not None:
+        files = files.where(F.col("run_date") >= F.lit(str(first_day)).cast("date"))
+    if last_day is not None:
+        files = files.where(F.col("run_date") <= F.lit(str(last_day)).cast("date"))
+    return conform(_stored_results(spark, root, files), schema)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
@@ -85,46 +177,100 @@ def merge_insert_only(
 ) -> None:
     """Insert the rows of ``source`` whose key the table at ``path`` lacks.
 
-    Each load is a partition ``load_id``. Repeating a load compares against the other
-    loads only and replaces its own partition, so a replay changes nothing, rows with
-    a NULL key included. With ``prune`` the target scan is limited to the key range
-    of the source (a scalar subquery that reaches the parquet filters). The source is
-    read three times (key range, frequent keys, join); ``persist_source`` keeps it on
-    the executors meanwhile, spilling to their disks. Turn that off for a source that
-    is cheap to read again.
+    The table is listed by a manifest (:mod:`millrace.sinks.manifest`) with the key range and a
+    Bloom filter of every data file; with ``prune`` only the files that may hold a key of the
+    source are opened. A load is committed as a whole, and once: repeating a committed load
+    changes nothing, rows with a NULL key included. Files of many small loads are rewritten
+    into a few, in the order of their keys, and what no version lists any more is removed, so
+    neither files nor folders grow with the number of loads. The source is read several times;
+    ``persist_source`` keeps it on the executors meanwhile, spilling to their disks. Turn that
+    off for a source that is cheap to read again.
     """
     spark = source.sparkSession
-    if not table_exists(spark, path):
-        _write_load(source, path, load_id)
+    table = manifest.newest(spark, path)
+    if table and not table.loads.where(F.col("load_id") == load_id).isEmpty():
+        return
+    if table is None:
+        _commit_load(source, path, load_id, key, None)
         return
-    target = spark.read.parquet(path).where(F.col("load_id") != load_id)
     if persist_source:
         source = source.persist()
     try:
-        if prune and len(key) == 1:
-            column = F.col(key[0])
-            ends = source.agg(F.struct(F.min(column).alias("low"), F.max(column).alias("high")))
-            span = ends.scalar()
-            target = target.where((column >= span["low"]) & (column <= span["high"]))
-        _write_load(merge_rows(source, target, key, spread_by=spread_by), path, load_id)
+        files = manifest.may_hold(spark, path, table.files, source, key) if prune else table.files
+        opened = manifest.paths(path, files)
+        target = manifest.read_files(spark, _with_load(source).schema, opened).select(*key)
+        added = merge_rows(source, target, key, spread_by=spread_by) if opened else source
+        _commit_load(added, path, load_id, key, table)
     finally:
         if persist_source:
             source.unpersist()
 
 
-def _write_load(rows: DataFrame, path: str, load_id: str) -> None:
-    (
-        rows.withColumn("load_id", F.lit(load_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_id")
-        .parquet(path)
-    )
+def _with_load(rows: DataFrame, load_id: str = "") -> DataFrame:
+    return rows.withColumn("load_id", F.lit(load_id).cast("string"))
+
+
+def _commit_load(
+    rows: DataFrame, path: str, load_id: str, key: Sequence[str], after: manifest.Version | None
+) -> None:
+    rows = _with_load(rows, load_id)
+    loads = rows.sparkSession.createDataFrame([(load_id,)], "load_id string")
+    if after is not None:
+        loads = after.loads.union(loads)
+    _commit(rows, path, key, after.files if after else None, loads, after)
+    compact(rows.sparkSession, path, rows.schema, key)
+
+
+def _commit(
+    rows: DataFrame,
+    path: str,
+    key: Sequence[str],
+    others: DataFrame | None,
+    loads: DataFrame,
+    after: manifest.Version | None,
+) -> None:
+    """Write ``rows`` as a commit beside the files ``others``."""
+    spark, commit = rows.sparkSession, manifest.new_commit()
+    rows.write.parquet(manifest.data_path(path, commit))
+    files = manifest.describe(spark, path, commit, rows.schema, key).persist()
+    try:
+        manifest.write_filters(spark, path, commit, rows.schema, key, files)
+        manifest.publish(
+            spark, path, files if others is None else others.unionByName(files), loads, after
+        )
+    finally:
+        files.unpersist()
+
+
+def compact(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    key: Sequence[str] = MERGE_KEY,
+    *,
+    small_files: int = SMALL_FILES,
+    file_rows: int = FILE_ROWS,
+) -> bool:
+    """Rewrite the small files of a table, where there are more than ``small_files`` of them,
+    into files of about ``file_rows`` rows in the order of the key, and remove what no recent
+    version lists. True if files were rewritten."""
+    table = manifest.newest(spark, path)
+    small = table.files.where(F.col("rows") < file_rows // 2)
+    found = small.agg(F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows")).first()
+    done = found.n > small_files
+    if done:
+        rows = manifest.read_files(spark, schema, manifest.paths(path, small))
+        ordered = rows.repartitionByRange(-(-found.rows // file_rows), *key, F.xxhash64(*spreadable(rows)))
+        others = table.files.where(F.col("rows") >= file_rows // 2)
+        _commit(ordered.sortWithinPartitions(*key), path, key, others, table.loads, table)
+    manifest.expire(spark, path)
+    return done
 
 
 def read_merged(spark: SparkSession, path: str, load_id: str | None = None) -> DataFrame:
-    """The merged table, or the rows that one load added."""
-    rows = spark.read.parquet(path)
+    """The merged table, or the rows that one load added: the newest version when called."""
+    listed = manifest.paths(path, manifest.newest(spark, path).files)
+    rows = spark.read.parquet(*listed) if listed else spark.read.parquet(f"{path}/data/*")
     if load_id is not None:
         rows = rows.where(F.col("load_id") == load_id)
     return rows.drop("load_id")

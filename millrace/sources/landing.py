@@ -9,11 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import clock
+from .file_source import files
 
+LANDED = "raw_data variant, file_name string, file_path string, block_start bigint"
+BROADCAST_ROWS = 100_000  # most files of unusual header that are sent to all executors
 _LINEAGE = (
     "_metadata.file_name",
     "_metadata.file_path",
@@ -47,10 +50,13 @@ def scan_csv(
 ) -> DataFrame:
     """CSV files, header line skipped, each row as one object keyed by the header.
 
-    Without ``columns`` every file is read by its own header; Spark then reads a file
-    in one task. With ``columns`` (the contract, in file order) large files are split
-    into blocks and read in parallel; a header that differs raises an error.
+    Without ``columns`` every file is read by its own header (:func:`scan_csv_by_header`); a
+    stream of such files reads a file in one task. With ``columns`` (the contract, in file
+    order) a header that differs raises an error. Large files are split into blocks and read
+    in parallel.
     """
+    if columns is None and not stream:
+        return scan_csv_by_header(spark, path)
     reader = _reader(spark, stream, files_per_batch).option("header", True)
     if columns is None:
         return _with_lineage(reader.option("singleVariantColumn", "raw_data").csv(path))
@@ -68,54 +74,204 @@ def scan_csv(
     )
 
 
+def header_index(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, names)``: the header of each CSV file that holds one. The executors read the
+    first line of every file."""
+    return files(spark, path, header=True).where("size(names) > 0").select("path", "names")
+
+
+def scan_csv_by_header(spark: SparkSession, path: str) -> DataFrame:
+    """CSV files whose columns may come in any order, and be other ones from file to file.
+
+    Fields are read by position, so that a large file is split into blocks. The index of headers
+    then names them: the usual header is a literal, and files with another one, few as a rule,
+    are joined by their path. Rows get their ``scan_position`` before that join.
+    """
+    index = header_index(spark, path)
+    counted = index.groupBy("names").agg(F.count(F.lit(1)).alias("n"))
+    seen = counted.agg(
+        F.max(F.size("names")).alias("widest"),
+        F.max(F.struct("n", "names"))["names"].alias("usual"),
+        F.count(F.lit(1)).alias("headers"),
+        (F.sum("n") - F.max("n")).alias("others"),
+    ).first()  # one row
+    if not seen.headers:
+        return spark.createDataFrame([], LANDED)
+    usual = F.array(*map(F.lit, seen.usual))
+    cells = [f"_c{n}" for n in range(seen.widest)]
+    name, file_path, block = (F.col(c) for c in _LINEAGE)
+    rows = (
+        spark.read.schema(", ".join(f"{c} string" for c in cells))
+        .option("header", True)  # skips the line; the names are ours
+        .csv(path)
+        .select(
+            F.array(*cells).alias("__cells"),
+            name.alias("file_name"),
+            file_path.alias("file_path"),
+            block.alias("block_start"),
+            F.monotonically_increasing_id().alias("scan_position"),
+        )
+    )
+    names = usual
+    if seen.headers > 1:
+        others = index.where(F.col("names") != usual).withColumnRenamed("path", "__path")
+        if seen.others <= BROADCAST_ROWS:
+            others = F.broadcast(others)
+        bare = F.url_decode(F.replace(F.regexp_replace("file_path", "^[a-z0-9+]+:/+", "/"), F.lit("+"), F.lit("%2B")))
+        rows = rows.join(others, bare == F.col("__path"), "left")
+        names = F.coalesce("names", usual)
+    named = F.map_from_arrays(names, F.slice("__cells", F.lit(1), F.size(names)))
+    return rows.select(
+        F.to_variant_object(named).alias("raw_data"),
+        "file_name",
+        "file_path",
+        "block_start",
+        "scan_position",
+    )
+
+
+def scan_texts(
+    spark: SparkSession,
+    path: str,
+    *,
+    lines: bool = False,
+    stream: bool = False,
+    files_per_batch: int | None = None,
+) -> DataFrame:
+    """Files as text in ``value``, with lineage: one row a file, or with ``lines`` one row for
+    each line that is not blank, in parallel splits of a large file."""
+    reader = _reader(spark, stream, files_per_batch)
+    name, file_path, block = (F.col(c) for c in _LINEAGE)
+    texts = reader.text(path, wholetext=not lines).select(
+        "value", name.alias("file_name"), file_path.alias("file_path"), block.alias("block_start")
+    )
+    return texts.where(~_blank(F.col("value"))) if lines else texts
+
+
+def _blank(text: Column) -> Column:
+    return ~F.coalesce(text, F.lit("")).rlike(r"\S")
+
+
+def whole_json(text: Column) -> Column:
+    """A text that is one JSON value as a variant, else NULL.
+
+    The parser stops after a first value and ignores what follows. So the text is parsed as the
+    first of two elements, the second being a number that only depends on the text: anything
+    after the value breaks the pair."""
+    mark = F.xxhash64(text)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+
+    def first(both: Column) -> Column:
+        kept = (F.size(both) == 2) & (F.get(both, F.lit(1)).try_cast("bigint") == mark)
+        return F.when(kept, F.get(both, F.lit(0)))
+
+    return F.get(F.transform(F.array(pair.try_cast("array<variant>")), first), F.lit(0))
+
+
+def _is_record(payload: Column) -> Column:
+    """Objects and arrays are records; scalars and JSON null are not."""
+    return F.coalesce(F.schema_of_variant(payload).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+
+
+def json_records(
+    texts: DataFrame, *, strip_outer_array: bool = False, multi_line: bool | None = None
+) -> DataFrame:
+    """The JSON records of scanned texts, and what is none.
+
+    A text is one document, however it is indented (``multi_line``), or, where that is None, JSON
+    lines if it is no document and its first line is a whole record. ``strip_outer_array`` gives a
+    row for each element of a top-level array. Columns: ``raw_data``, ``element`` (place in the
+    array, from 0), ``reason`` why a row is no record (null: it is one) and its ``text``, and those
+    of ``texts``. Every text gives a row at least.
+    """
+    kept = [c for c in texts.columns if c != "value"]
+    parsed = texts.withColumn("value", F.regexp_replace("value", "^\ufeff", ""))
+    parsed = parsed.withColumn("parsed", whole_json(F.col("value")))
+    whole = F.array(F.struct(F.col("parsed").alias("payload"), F.col("value").alias("text")))
+    if multi_line is None:
+        lines = F.filter(F.split("value", "\r?\n"), lambda line: ~_blank(line))
+        by_line = F.transform(
+            lines, lambda line: F.struct(whole_json(line).alias("payload"), line.alias("text"))
+        )
+        first = whole_json(F.get(lines, F.lit(0)))
+        whole = F.when(F.col("parsed").isNull() & _is_record(first), by_line).otherwise(whole)
+    rows = parsed.select(*kept, F.explode(whole).alias("document")).select(
+        *kept, "document.payload", "document.text"
+    )
+    payload = F.col("payload")
+    if strip_outer_array:
+        items = F.coalesce(payload.try_cast("array<variant>"), F.array(payload))
+        rows = rows.select(*kept, "payload", "text", F.posexplode_outer(items).alias("element", "raw_data"))
+    else:
+        rows = rows.select(*kept, "payload", "text", F.lit(0).alias("element"), payload.alias("raw_data"))
+    raw = F.col("raw_data")
+    reason = (
+        F.when(_blank(F.col("text")), "EMPTY")
+        .when(payload.isNull(), "MALFORMED_JSON")
+        .when(raw.isNull(), "EMPTY_ARRAY")
+        .when(~_is_record(raw), "NOT_A_RECORD")
+    )
+    own_text = F.when(payload.isNull() | raw.isNull(), F.col("text")).otherwise(F.to_json(raw))
+    return rows.select(
+        "raw_data",
+        "element",
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), own_text).alias("text"),
+        *kept,
+    )
+
+
 def scan_json(
     spark: SparkSession,
     path: str,
     *,
     strip_outer_array: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     skip_malformed: bool = True,
     stream: bool = False,
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """JSON records. ``multi_line`` for files that hold one pretty-printed document.
+    """JSON records of files that hold one document, indented or not, or JSON lines.
 
-    ``strip_outer_array`` gives one row per element of a top-level array; a record
-    that is no array stays one row. Malformed records are skipped, or kept with a
-    NULL payload so that they can be counted.
+    By default a file is read whole and its layout found out; ``multi_line=False`` reads lines
+    only, in parallel splits, as large files of JSON lines need. ``strip_outer_array`` gives one
+    row per element of a top-level array; a record that is no array stays one row. Texts that are
+    no JSON are left out, or kept with a NULL payload; :func:`rejected_texts` has them in full.
     """
-    reader = _reader(spark, stream, files_per_batch)
-    scan = (
-        reader.option("singleVariantColumn", "raw_data")
-        .option("multiLine", multi_line)
-        .option("mode", "DROPMALFORMED" if skip_malformed else "PERMISSIVE")
-        .json(path)
-    )
-    if not strip_outer_array:
-        return _with_lineage(scan)
-    name, file_path, block = (F.col(c) for c in _LINEAGE)
-    elements = F.coalesce(
-        F.col("raw_data").try_cast("array<variant>"), F.array(F.col("raw_data"))
-    )
-    return scan.select(
-        F.explode(elements).alias("raw_data"),
-        name.alias("file_name"),
-        file_path.alias("file_path"),
-        block.alias("block_start"),
+    texts = scan_texts(
+        spark, path, lines=multi_line is False, stream=stream, files_per_batch=files_per_batch
     )
+    rows = json_records(texts, strip_outer_array=strip_outer_array, multi_line=multi_line)
+    if skip_malformed:
+        rows = rows.where("raw_data IS NOT NULL")
+    return rows.select("raw_data", "file_name", "file_path", "block_start")
+
+
+def rejected_texts(
+    spark: SparkSession,
+    path: str,
+    *,
+    strip_outer_array: bool = False,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    """What a scan of ``path`` does not take for records: file, element, text and reason."""
+    texts = scan_texts(spark, path, lines=multi_line is False)
+    rows = json_records(texts, strip_outer_array=strip_outer_array, multi_line=multi_line)
+    return rows.where("reason IS NOT NULL").select("file_name", "element", "text", "reason")
 
 
 def scan_documents(
-    spark: SparkSession, path: str, as_of=None, multi_line: bool = False
+    spark: SparkSession, path: str, as_of=None, multi_line: bool | None = None
 ) -> DataFrame:
-    """Whole JSON documents with load time and file, malformed ones skipped."""
+    """Whole JSON documents with load time and file; malformed ones are in
+    :func:`rejected_texts`."""
     loaded = F.localtimestamp() if as_of is None else clock(as_of)
     return scan_json(spark, path, multi_line=multi_line).select(
         loaded.alias("ingest_ts"), F.col("file_name").alias("source_file"), "raw_data"
     )
 
 
-def malformed_count(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def malformed_count(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """How many records of the files are no valid JSON."""
     scan = scan_json(spark, path, multi_line=multi_line, skip_malformed=False)
     return scan.agg(

@@ -8,34 +8,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import first_per_key
+from .file_source import files
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Key, size and time of the files below ``path``. The content column is never
-    selected, so no file is opened.
-
-    Spark's readers leave files of size 0 out. Their names come from the file index that
-    the session holds for the folder anyway; they have no time.
-    """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(path)
-    )
-    listed = files.select(
+    """Key, size and time of the files below ``path``, empty ones included. Each prefix is
+    listed by a task of its own, no file is opened, and no name passes through the driver."""
+    return files(spark, path, pattern).select(
         F.col("path").alias("key"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("last_modified"),
-    )
-    names = spark.createDataFrame([(n,) for n in files.inputFiles()], "name string")
-    decoded = F.url_decode(F.replace(F.col("name"), F.lit("+"), F.lit("%2B")))
-    known = names.select(F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/").alias("key"))
-    seen = listed.select(F.regexp_replace("key", "^([a-z0-9]+):/+", "$1:/").alias("key"))
-    empty = known.join(seen, "key", "left_anti").select(
-        "key", F.lit(0).cast("bigint").alias("size"), F.lit(None).cast("timestamp").alias("last_modified")
+        "size",
+        "last_modified",
+        (F.col("size") == 0).alias("is_empty"),
     )
-    return listed.unionByName(empty).withColumn("is_empty", F.col("size") == 0)
 
 
 def latest_files(
@@ -53,20 +37,52 @@ def latest_files(
     return latest.unionByName(absent, allowMissingColumns=True)
 
 
-def catalog_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """Tables and views by name."""
+def register_tables(
+    spark: SparkSession, database: str, tables: dict[str, str], location: str
+) -> None:
+    """Register parquet folders as external tables of a database of the session catalog (kept at
+    ``location`` if it is new), and gather their row counts."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+    for name, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE `{database}`.`{name}` USING parquet LOCATION '{place}'")
+        spark.sql(f"ANALYZE TABLE `{database}`.`{name}` COMPUTE STATISTICS")
+
+
+def _row_count(spark: SparkSession, database: str, name: str) -> int | None:
+    """The rows that the catalog holds for a table, without reading the table."""
+    parts = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{name}`").where("col_name = 'Statistics'")
+    found = parts.select(F.regexp_extract("data_type", r"(\d+) rows", 1)).first()
+    return int(found[0]) if found and found[0] else None
+
+
+def _listed(spark: SparkSession, database: str | None, pattern: str):
+    """Schemas and tables; the temporary views of the session where no database is named."""
+    schema = database or spark.catalog.currentDatabase()
+    found = spark.catalog.listTables(schema, pattern)
+    return [(schema, t) for t in found if database is None or not t.isTemporary]
+
+
+def catalog_tables(spark: SparkSession, database: str | None = None, pattern: str = "*") -> DataFrame:
+    """Tables and views by name, with the row counts that the catalog holds (null: not
+    gathered). ``pattern`` filters names as the catalog does (``*``, ``|``)."""
     rows = [
-        (t.namespace[0] if t.namespace else "", t.name) for t in spark.catalog.listTables(database)
+        (schema, t.name, t.tableType, None if t.isTemporary else _row_count(spark, schema, t.name))
+        for schema, t in _listed(spark, database, pattern)
     ]
-    return spark.createDataFrame(rows, "table_schema string, table_name string").orderBy(
-        "table_name"
-    )
+    schema = "table_schema string, table_name string, table_type string, row_count bigint"
+    return spark.createDataFrame(rows, schema).orderBy("table_schema", "table_name")
 
 
-def catalog_columns(spark: SparkSession, table: str) -> DataFrame:
+def catalog_columns(spark: SparkSession, database: str | None = None, pattern: str = "*") -> DataFrame:
+    """The columns of those tables, by table and position."""
     rows = [
-        (table, c.name, c.dataType, i + 1) for i, c in enumerate(spark.catalog.listColumns(table))
+        (schema, t.name, c.name, c.dataType, i + 1)
+        for schema, t in _listed(spark, database, pattern)
+        for i, c in enumerate(spark.catalog.listColumns(t.name if t.isTemporary else f"{schema}.{t.name}"))
     ]
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, data_type string, position int"
+    schema = (
+        "table_schema string, table_name string, column_name string, data_type string, position int"
     )
+    return spark.createDataFrame(rows, schema).orderBy("table_schema", "table_name", "position")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-import zlib
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import half_up, share_pct
-from ..functions.times import hour_text
-from ..operators.bronze import bronze_rows, typed_trips
+from ..functions.times import clock, hour_text
+from ..operators.bronze import bronze_rows, typed_trips, with_row_numbers
 from ..operators.checks import run_checks
 from ..operators.silver import LINEAGE, MERGE_KEY, silver_filter, silver_shape
 from ..plans.daily import run_all_checks
-from ..schemas import TRIP_NAMES
+from ..schemas import TRIP_NAMES, conform
 from ..sinks.export import ExportStatus, export_all
-from ..sinks.tables import append_results, merge_insert_only, read_merged, read_results
-from ..sources.landing import scan_csv, scan_json
+from ..sinks.tables import (
+    DEAD,
+    LANDED_RECORDS,
+    RECORD,
+    append_results,
+    merge_insert_only,
+    read_merged,
+    read_results,
+)
+from ..sources.landing import json_records, scan_csv, scan_json, scan_texts
 
 MERGE_INTERVAL = "5 minutes"
 
@@ -28,7 +36,7 @@ BatchStep = Callable[[DataFrame, str], None]
 
 def load_prefix(name: str, checkpoint: str) -> str:
     """Batch numbers are unique within a checkpoint only, so load ids carry its path."""
-    return f"{name}-{zlib.crc32(checkpoint.encode()):08x}"
+    return f"{name}-{hashlib.sha256(checkpoint.encode()).hexdigest()[:32]}"
 
 
 def _start(stream: DataFrame, step: BatchStep, checkpoint: str, every: str | None, name: str):
@@ -57,11 +65,11 @@ def landing_stream(
     *,
     columns: Sequence[str] | None = None,
     files_per_batch: int | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
-    """New landed files, each exactly once. ``multi_line`` for JSON files that hold one
-    indented document. Malformed JSON records stay, with a NULL payload; ``rejected_count``
-    counts them and the scalars."""
+    """New landed files, each exactly once. JSON files hold one document, indented or not, or
+    lines (``multi_line=False`` reads lines only, in splits). Malformed JSON records stay, with a
+    NULL payload; ``rejected_count`` counts them and the scalars."""
     if source_format == "CSV":
         return scan_csv(spark, path, columns, stream=True, files_per_batch=files_per_batch)
     return scan_json(
@@ -87,6 +95,58 @@ def rejected_count(bronze: DataFrame) -> DataFrame:
     )
 
 
+def records_stream(
+    spark: SparkSession,
+    path: str,
+    *,
+    files_per_batch: int | None = None,
+    multi_line: bool | None = None,
+) -> DataFrame:
+    """New landed JSON files as texts, for :func:`stream_records`."""
+    return scan_texts(
+        spark, path, lines=multi_line is False, stream=True, files_per_batch=files_per_batch
+    )
+
+
+def stream_records(
+    texts: DataFrame,
+    source_format: str,
+    path: str,
+    checkpoint: str,
+    *,
+    multi_line: bool | None = None,
+    every: str | None = None,
+    as_of: dt.datetime | str | None = None,
+) -> StreamingQuery:
+    """Append the records of new files to bronze, and what is no record to its dead letters.
+
+    Both come from one scan and one write of the batch, so they are there together or not at
+    all, and a replayed batch replaces both. ``sinks.tables.read_records`` and ``dead_letters``
+    read them."""
+
+    def step(batch: DataFrame, load_id: str) -> None:
+        numbered = with_row_numbers(batch)
+        rows = json_records(numbered, strip_outer_array=True, multi_line=multi_line)
+        loaded = F.localtimestamp() if as_of is None else clock(as_of)
+        shaped = rows.withColumns(
+            {
+                "load_timestamp": loaded,
+                "source_format": F.lit(source_format),
+                "outcome": F.when(F.col("reason").isNull(), RECORD).otherwise(DEAD),
+                "load_id": F.lit(load_id),
+            }
+        )
+        (
+            conform(shaped, LANDED_RECORDS)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("outcome", "source_format", "load_id")
+            .parquet(path)
+        )
+
+    return _start(texts, step, checkpoint, every, source_format.lower())
+
+
 def stream_to_bronze(
     scan: DataFrame,
     source_format: str,

@@ -3,6 +3,7 @@
 import gzip
 import glob
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -113,16 +114,90 @@ def test_typed_view_options_and_rejects(spark):
     assert raw_summary(typed_trips(bronze)).collect()[0].total_files == 1
 
 
-def test_inventory_lists_without_reading(spark, folder):
+def test_inventory_lists_prefixes_by_tasks_of_their_own(spark, folder):
     write(f"{folder}/a.csv", "x\n1\n")
-    write(f"{folder}/empty.csv", "")
+    write(f"{folder}/_hidden", "x")
+    for prefix, name, text in (("p=1", "é b%20.csv", "abc"), ("p=1", "empty.csv", ""), ("q/r", "deep.txt", "12")):
+        os.makedirs(f"{folder}/{prefix}", exist_ok=True)
+        write(f"{folder}/{prefix}/{name}", text)
     files = listing.file_inventory(spark, folder)
-    assert {r.key.rsplit("/", 1)[1]: r.is_empty for r in files.collect()} == {
-        "a.csv": False,
-        "empty.csv": True,
+    got = {r.key.removeprefix(f"{folder}/"): (r.size, r.is_empty) for r in files.collect()}
+    assert got == {
+        "a.csv": (4, False), "p=1/é b%20.csv": (3, False), "p=1/empty.csv": (0, True), "q/r/deep.txt": (2, False),
+    }
+    assert files.where("last_modified IS NULL").isEmpty()
+    assert files.rdd.getNumPartitions() == 3  # the files of the folder itself, p=1 and q
+    assert listing.file_inventory(spark, folder, "*.csv").count() == 3
+    by_uri = listing.file_inventory(spark, f"file:{folder}")
+    assert {r.key for r in by_uri.collect()} == {r.key for r in files.collect()}
+    with pytest.raises(Exception, match="FileNotFound"):
+        listing.file_inventory(spark, f"{folder}/none").count()
+
+
+def test_csv_headers_in_any_order_and_parallel_splits(spark, folder):
+    write(f"{folder}/a b%+é.csv", "x,y\n1,\n2,two\n")
+    write(f"{folder}/b.csv", '\ufeffy,"z, w",x\nsix,7,5\n"a,b",,9\n')
+    write(f"{folder}/c.csv", "x,y\n" + "".join(f"{n},v{n}\n" for n in range(20_000)))
+    write(f"{folder}/empty.csv", "")
+    write(f"{folder}/header.csv", "y,x\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        scan = landing.scan_csv(spark, folder)
+        assert scan.rdd.getNumPartitions() > 8  # the large file gives many tasks
+        small = scan.where("file_name NOT LIKE 'c%'").selectExpr("to_json(raw_data) AS j").collect()
+        assert sorted(json.dumps(json.loads(r.j), sort_keys=True) for r in small) == sorted(
+            json.dumps(d, sort_keys=True)
+            for d in (
+                {"x": "1", "y": None}, {"x": "2", "y": "two"},
+                {"x": "5", "y": "six", "z, w": "7"}, {"x": "9", "y": "a,b", "z, w": None},
+            )
+        )
+        rows = bronze_rows(scan, "CSV", CLOCK)
+        wrong = rows.where(
+            "file_name = 'c.csv' AND variant_get(raw_data, '$.x', 'bigint') + 1 <> file_row_number"
+        )
+        assert rows.count() == 20_004 and wrong.isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_header_with_a_name_twice_stops_the_scan(spark, folder):
+    write(f"{folder}/a.csv", "x,x\n1,2\n")
+    with pytest.raises(Exception, match="there twice"):
+        landing.scan_csv(spark, folder).count()
+
+
+def test_json_layouts_are_found_out(spark, folder):
+    write(f"{folder}/array.json", json.dumps([{"a": 1}, {"a": 2}], indent=2))
+    write(f"{folder}/one.json", "\ufeff" + json.dumps({"a": 3}, indent=4) + "\n\n")
+    write(f"{folder}/lines.json", '{"a": 4}\n\n{"a": 5}\r\n[{"a": 6}]\n')
+    rows = landing.scan_json(spark, folder, strip_outer_array=True)
+    got = rows.select(F.variant_get("raw_data", "$.a", "int")).collect()
+    assert sorted(r[0] for r in got) == [1, 2, 3, 4, 5, 6]
+    assert landing.rejected_texts(spark, folder, strip_outer_array=True).count() == 0
+
+
+def test_rejected_texts_say_why(spark, folder):
+    bad = {
+        "cut.json": ('[\n  {"a": 1},\n  {"a"', "MALFORMED_JSON"),
+        "two.json": ('{"a": 1} {"a": 2}', "MALFORMED_JSON"),
+        "tail.json": ('{"a": 1}] rest', "MALFORMED_JSON"),
+        "blank.json": (" \n", "EMPTY"),
+        "none.json": ("[]", "EMPTY_ARRAY"),
+        "scalar.json": ("7", "NOT_A_RECORD"),
+        "null.json": ("null", "NOT_A_RECORD"),
     }
-    plan = files._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in plan
+    for name, (text, _) in bad.items():
+        write(f"{folder}/{name}", text)
+    write(f"{folder}/mixed.json", '[{"a": 1}, 5, {"a": 2}]')
+    write(f"{folder}/lines.json", '{"a": 3}\n{broken\n')
+    found = landing.rejected_texts(spark, folder, strip_outer_array=True).collect()
+    got = {r.file_name: (r.text, r.reason) for r in found}
+    assert got == bad | {"mixed.json": ("5", "NOT_A_RECORD"), "lines.json": ("{broken", "MALFORMED_JSON")}
+    assert [r.element for r in found if r.file_name == "mixed.json"] == [1]
+    good = landing.scan_json(spark, folder, strip_outer_array=True).where("schema_of_variant(raw_data) LIKE 'OBJECT%'")
+    assert good.count() == 3
+
 
 
 def test_latest_files(spark):
@@ -153,12 +228,25 @@ def test_catalog(spark):
     spark.sql("SELECT 1L AS a, 'x' AS b").createOrReplaceTempView("tiny")
     tables_seen = [r.table_name for r in listing.catalog_tables(spark).collect()]
     assert "tiny" in tables_seen and tables_seen == sorted(tables_seen)
-    assert [tuple(r)[1:] for r in listing.catalog_columns(spark, "tiny").collect()] == [
+    assert [tuple(r)[2:] for r in listing.catalog_columns(spark, pattern="tin*").collect()] == [
         ("a", "bigint", 1),
         ("b", "string", 2),
     ]
 
 
+def test_registered_tables_have_row_counts(spark, folder):
+    spark.range(7).write.parquet(f"{folder}/one")
+    spark.range(3).selectExpr("id AS a", "id AS b").write.parquet(f"{folder}/two")
+    paths = {"one": f"{folder}/one", "two": f"{folder}/two"}
+    for _ in range(2):  # registering again changes nothing
+        listing.register_tables(spark, "some", paths, f"{folder}/some")
+    found = listing.catalog_tables(spark, "some").where("table_schema = 'some'")
+    assert [(r.table_name, r.table_type, r.row_count) for r in found.collect()] == [
+        ("one", "EXTERNAL", 7), ("two", "EXTERNAL", 3),
+    ]
+    assert [r.column_name for r in listing.catalog_columns(spark, "some", "tw*").collect()] == ["a", "b"]
+
+
 def test_export_is_cut_into_files_and_replaced(spark, folder):
     rows = spark.range(1000).selectExpr(
         "id AS log_id", "TIMESTAMP_NTZ '2024-01-30 01:00:00' AS run_timestamp", "'t' AS table_name",
@@ -198,7 +286,7 @@ def test_violation_files_follow_their_volume(spark, folder):
     trips = inputs.trips(spark, SF).repartition(40)
     run = run_checks(trips, [rules.range_rule()], as_of=CLOCK, run_id="r").pinned()
     tables.append_results(run.result, folder)
-    files = glob.glob(f"{folder}/violations/*/*/*.parquet")
+    files = glob.glob(f"{folder}/data/*/kind=violations/*/*.parquet")
     assert len(files) == 1
     assert tables.read_results(spark, folder, "violations").count() == 235
 

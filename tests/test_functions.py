@@ -99,14 +99,6 @@ def test_percentages_guard_zero(spark):
     assert tuple(row) == (0.0, None)
 
 
-def test_exact_mean_ignores_order(spark):
-    frame = spark.range(10_000).select((F.rand(3) * 1000).cast("decimal(18,2)").cast("double").alias("x"))
-    frame = frame.persist()
-    one = frame.repartition(7).agg(numbers.exact_mean(F.col("x"))).collect()[0][0]
-    two = frame.orderBy(F.col("x").desc()).agg(numbers.exact_mean(F.col("x"))).collect()[0][0]
-    assert one == two
-
-
 def test_bad_time_text_is_null(spark):
     got = values(spark, "('nope'), ('2024-01-10T00:00:00Z')", times.parsed_time(F.col("x")))
     assert got == [None, dt.datetime(2024, 1, 10)]

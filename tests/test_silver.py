@@ -120,15 +120,6 @@ def test_merge_twice_is_merge_once(spark, folder):
     assert seen[0] == Counter({(1, 0): 1, (2, 2): 1, (2, 3): 1, (None, 4): 1})
 
 
-def test_merge_target_filter_reaches_the_scan(spark, folder):
-    tables.merge_insert_only(frame(spark, [(1, 0), (50, 0)]), f"{folder}/t", "a", ["k"])
-    source = frame(spark, [(40, 1), (60, 2)])
-    target = spark.read.parquet(f"{folder}/t")
-    low = source.agg(F.min("k")).scalar()
-    plan = target.where(F.col("k") >= low).select("k")._jdf.queryExecution().toString()
-    assert "GreaterThanOrEqual(k,ScalarSubquery" in plan
-
-
 def test_distinct_rows_collapse_copies(spark):
     rows = spark.range(5000).selectExpr("IF(id % 3 = 0, 1, id) AS k", "0L AS n")
     assert silver.distinct_rows(rows).count() == rows.distinct().count()
