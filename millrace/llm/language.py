@@ -10,7 +10,7 @@ that a vector is one small matrix product; prototypes are summed per task and th
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -186,16 +186,6 @@ def predicted(
     return of(text)
 
 
-def has_letter(text: Column) -> Column:
-    """Whether a text has a letter in the sense of :func:`grams`."""
-
-    @F.pandas_udf("boolean")
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
-
-    return of(text)
-
-
 def _remainder(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
@@ -212,9 +202,24 @@ def identify(documents: DataFrame) -> DataFrame:
     ).select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def keep_identified(documents: DataFrame) -> DataFrame:
-    """The documents with a letter, whatever was learned. This is a test for letters only: a
-    small or unlike text is no reason to drop it, so no profile takes part."""
-    row = F.struct("*").alias("row")
-    told = has_letter(documents["text"]).alias("told")
-    return documents.select(row, told).where("told").select("row.*")
+def keep_identified(documents: DataFrame, wanted: Sequence[str] | None = None) -> DataFrame:
+    """The documents whose language can be told, and where ``lang`` is null, their predicted one.
+
+    Profiles are learned from the labelled documents. Only texts without a letter are rejected
+    (null and empty ones are among them), and with ``wanted`` those predicted to be in another
+    language: a small cosine alone is no reason, as clean short texts have one. Where nothing was
+    learned every text with a letter stays, its ``lang`` as it is, and ``wanted`` rejects none.
+    Repeated rows are kept, an empty table gives none, other columns stay as they are.
+    """
+    languages = prototypes(documents)
+    row, p = F.struct("*").alias("row"), predicted(documents["text"], languages).alias("p")
+    told = F.col("p.lang_pred") != UNDETERMINED
+    if not languages:
+        told = F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False))
+    elif wanted is not None:
+        told &= F.col("p.lang_pred").isin(list(wanted))
+    filled = F.coalesce("row.lang", F.when(F.lit(bool(languages)), F.col("p.lang_pred")))
+    columns = [
+        filled.alias("lang") if c == "lang" else F.col(f"row.`{c}`").alias(c) for c in documents.columns
+    ]
+    return documents.select(row, p).where(told).select(*columns)

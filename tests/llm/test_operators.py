@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from millrace.llm import (
     components,
@@ -253,7 +254,7 @@ def test_surrogates_of_common_forms(spark):
 
 
 def test_colliding_draws_are_drawn_again(spark, monkeypatch):
-    from pyspark.sql import functions as F
+
 
     monkeypatch.setattr(
         surrogates.Drawing, "surrogate", lambda self: F.expr("CAST(pmod(xxhash64(entity, draw), 6) AS STRING)")
@@ -305,6 +306,13 @@ def test_the_fullest_bin_closes_first():
     assert [bins.put(n)[0] for n in (6, 8, 7, 4, 3)] == [0, 1, 2, 0, 2]
 
 
+@pytest.mark.parametrize("repeated", ["Mr ", "Mr. ", "x.", "x@", "a.b@", "1", "12 ", "1:", "a:b::", "Ab ", "A", "+1 ", "0.", "AB12 "])
+def test_texts_of_many_repeats_end_no_executor(spark, repeated):
+    hostile = [repeated * 20_000, "x@" + repeated * 20_000 + "com", "Mr " + repeated * 20_000, "mail a.b@example.org"]
+    got = {r.doc_id: r.text for r in surrogates.report(documents(spark, hostile)).collect()}
+    assert len(got) == 4 and got[3] != hostile[3]
+
+
 def test_language_on_held_out_texts(spark, awkward, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -315,12 +323,27 @@ def test_language_on_held_out_texts(spark, awkward, empty):
     assert {r.doc_id for r in language.keep_identified(awkward).collect()} >= {4, 5, 8, None, 99}
 
 
+def test_the_language_stage_fills_and_filters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known = [r.lang for r in docs.select("lang").distinct().collect() if r.lang]
+    hidden = docs.withColumn("true", F.col("lang")).withColumn(
+        "lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang"))
+    )
+    kept = language.keep_identified(hidden)
+    assert kept.columns == hidden.columns
+    filled = kept.where("doc_id % 3 = 0 AND true IS NOT NULL").collect()
+    assert sum(r.lang == r.true for r in filled) >= 0.95 * len(filled) > 0
+    one = language.keep_identified(hidden, wanted=known[:1])
+    assert 0 < one.count() < kept.count() and one.where(F.col("true") != known[0]).count() <= 0.05 * one.count()
+    assert language.keep_identified(docs.limit(0)).count() == 0
+
+
 def test_unlabelled_documents_stay(spark, awkward):
     kept = language.keep_identified(awkward.drop("lang").selectExpr("*", "CAST(NULL AS STRING) AS lang"))
     assert {r.doc_id for r in kept.collect()} == {4, 5, 6, 7, 8, None, 99} and kept.count() == 11
-    held = [i for i in range(99) if zlib.crc32(str(i).encode()) % 4 == 2][:3]
-    only = documents(spark, ["one two three", "4", "five"], held)  # labels in the held-out fold only
-    assert {r.doc_id for r in language.keep_identified(only).collect()} == {held[0], held[2]}
+    assert all(r.lang is None for r in kept.collect())
+    blank = documents(spark, ["one two three", "4", "five"])  # one language: nothing to be told apart
+    assert {r.doc_id for r in language.keep_identified(blank).collect()} == {0, 2}
 
 
 def test_gradients():
