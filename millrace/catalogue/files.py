@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -417,49 +418,54 @@ def kpi_snapshot_upsert(spark, sf_dir):
 _TARGETS = ["NYC_Taxi_KPIs", "Pipeline_Health", "OpenAQ_KPIs"]
 
 
+PUBLISHED = f"""SELECT 'NYC_Taxi_KPIs' AS target,
+ least(count(DISTINCT CAST(pickup_datetime AS DATE)), 30) AS row_count FROM silver
+UNION ALL SELECT 'Pipeline_Health', 2
+UNION ALL SELECT 'OpenAQ_KPIs', count(*) FROM ({PER_LOCATION}) k"""
+
+
+def published_text(as_of: str) -> str:
+    """Subject and message of a publication as SQL."""
+    return f"""'✅ KPIs published' AS subject,
+ 'KPI publish complete.' || chr(10) || chr(10) || '✅ NYC_Taxi_KPIs — rows written' || chr(10)
+ || '✅ Pipeline_Health — rows written' || chr(10) || '✅ OpenAQ_KPIs — rows written' || chr(10)
+ || chr(10) || 'Time: {as_of}' AS message"""
+
+
 @query(
     "publish_message",
     i.over(
         "silver readings",
-        f"""SELECT target, row_count, '✅ KPIs published' AS subject,
- 'KPI publish complete.' || chr(10) || chr(10) || '✅ NYC_Taxi_KPIs — rows written' || chr(10)
- || '✅ Pipeline_Health — rows written' || chr(10) || '✅ OpenAQ_KPIs — rows written' || chr(10)
- || chr(10) || 'Time: {i.READINGS_CLOCK}' AS message
-FROM (SELECT 'NYC_Taxi_KPIs' AS target, least(count(DISTINCT CAST(pickup_datetime AS DATE)), 30)
-  AS row_count FROM silver
- UNION ALL SELECT 'Pipeline_Health', 2
- UNION ALL SELECT 'OpenAQ_KPIs', count(*) FROM ({PER_LOCATION}) k) t""",
+        f"SELECT target, row_count, {published_text(i.READINGS_CLOCK)} FROM ({PUBLISHED}) t",
     ),
 )
 def publish_kpis(spark, sf_dir):
-    """The three KPI frames written as keyed snapshots, and the success message."""
+    """The three KPI frames written as keyed snapshots behind one pointer, and the message."""
+    frames, root = kpi_frames(spark, sf_dir, i.READINGS_CLOCK), scratch_path(spark, "kpis")
+    written = tables.publish_snapshots(frames, root, i.READINGS_CLOCK)
+    return with_text(target_rows(written), publish_message(spark, list(written), i.READINGS_CLOCK))
+
+
+def kpi_frames(spark, sf_dir, as_of):
+    """The published targets, their rows and keys."""
     readings = i.readings(spark, sf_dir)
-    frames = [
-        (
-            trip_marts.newest_days(trip_marts.daily_kpi(i.silver(spark, sf_dir))),
-            ["trip_date"],
-        ),
-        (
-            observability.health_summary(i.audit(spark, sf_dir), readings, i.READINGS_CLOCK),
-            ["dataset"],
-        ),
-        (
-            air_marts.location_kpi(readings, i.READINGS_CLOCK),
-            ["location_id", "parameter", "unit"],
-        ),
+    days = trip_marts.newest_days(trip_marts.daily_kpi(i.silver(spark, sf_dir)))
+    health = observability.health_summary(i.audit(spark, sf_dir), readings, as_of)
+    places = air_marts.location_kpi(readings, as_of)
+    keys = (["trip_date"], ["dataset"], ["location_id", "parameter", "unit"])
+    return dict(zip(_TARGETS, zip((days, health, places), keys)))
+
+
+def with_text(rows: DataFrame, text: DataFrame) -> DataFrame:
+    """Rows with the subject and message of a text of one row."""
+    return rows.withColumns({c: text.select(c).scalar() for c in ("subject", "message")})
+
+
+def target_rows(published: dict[str, DataFrame]) -> DataFrame:
+    """Target and number of rows."""
+    counted = [
+        frame.agg(F.lit(target).alias("target"), F.count(F.lit(1)).alias("row_count"))
+        for target, frame in published.items()
     ]
-    root = scratch_path(spark, "kpis")
-    text = publish_message(spark, _TARGETS, i.READINGS_CLOCK)
-    subject, message = (text.select(c).scalar() for c in ("subject", "message"))
-    out = None
-    for target, (frame, key) in zip(_TARGETS, frames):
-        written = tables.upsert_snapshot(frame, f"{root}/{target}", key, i.READINGS_CLOCK)
-        one = written.agg(
-            F.lit(target).alias("target"),
-            F.count(F.lit(1)).alias("row_count"),
-            subject.alias("subject"),
-            message.alias("message"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    return reduce(DataFrame.unionByName, counted)
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from ..operators.checks import run_checks
 from ..operators.rules import freshness_rule
 from ..plans import alerts, observability
-from ..plans.trip_marts import daily_kpi, newest_days
+from ..session import scratch_path
 from . import inputs as i
 from .checks import CLOCK as READINGS_NOW
 from .checks import READING_METRIC_SQL
+from .files import PUBLISHED, kpi_frames, published_text, target_rows, with_text
 from .registry import query
 
+_QUIET_CLOCK = "2030-01-01 00:00:00"  # nothing fails in the hour before
 NOW = f"TIMESTAMP '{i.RESULTS_CLOCK}'"
 TODAY = f"DATE '{i.RESULTS_DAY}'"
 RECENT = f"run_timestamp >= {TODAY} - INTERVAL 7 DAY AND run_timestamp <= {NOW}"
@@ -246,19 +248,35 @@ def join_lines(spark, sf_dir):
 @query(
     "alert_branch",
     i.over(
-        "audit silver",
-        f""", f AS ({_FAILURES}),
- d AS (SELECT DISTINCT CAST(pickup_datetime AS DATE) AS day FROM silver)
-SELECT CASE WHEN (SELECT count(*) FROM f) > 0 THEN 'alert' ELSE 'publish' END AS branch,
- CASE WHEN (SELECT count(*) FROM f) > 0 THEN 1
-  ELSE least((SELECT count(*) FROM d), 30) END AS rows_out""",
+        "audit silver readings",
+        f""", f AS ({_FAILURES}), total AS (SELECT count(*) AS n FROM f)
+SELECT '{i.RESULTS_CLOCK}' AS run, 'alert' AS branch, NULL AS target, NULL AS row_count,
+ '🔴 DQ ALERT — ' || n || ' FAIL(s) detected' AS subject, NULL AS message
+FROM total, range(CAST(ceil(n / {alerts.LINES_PER_PART}) AS BIGINT)) WHERE n > 0
+UNION ALL SELECT run, 'publish', target, row_count, {published_text(_QUIET_CLOCK)}
+FROM ({PUBLISHED}) t, (SELECT '{_QUIET_CLOCK}' AS run
+ UNION ALL SELECT '{i.RESULTS_CLOCK}' FROM total WHERE n = 0) r""",
     ),
 )
 def alert_branch(spark, sf_dir):
-    branch, frame = alerts.alert_or_publish(
-        i.audit(spark, sf_dir),
-        i.RESULTS_CLOCK,
-        lambda: newest_days(daily_kpi(i.silver(spark, sf_dir))),
-    )
-    return frame.agg(F.lit(branch).alias("branch"), F.count(F.lit(1)).alias("rows_out"))
+    """A run with recent failures sends the alert and publishes nothing; one without publishes
+    the three targets in one commit and sends the message."""
+    root, out = scratch_path(spark, "branch"), []
+    for clock_text in (i.RESULTS_CLOCK, _QUIET_CLOCK):
+        sent = alerts.alert_or_publish(
+            i.audit(spark, sf_dir),
+            clock_text,
+            lambda at=clock_text: kpi_frames(spark, sf_dir, at),
+            f"{root}/{clock_text[:4]}",
+        )
+        if sent.published:
+            rows = with_text(target_rows(sent.published), sent.messages)
+        else:  # the text itself is in alert_message
+            rows = sent.messages.selectExpr(
+                "NULL AS target", "NULL AS row_count", "subject", "NULL AS message"
+            )
+        out.append(rows.select(F.lit(clock_text).alias("run"), F.lit(sent.branch).alias("branch"), "*"))
+    first, second = out
+    kinds = dict(second.dtypes)
+    return second.unionByName(first.select(*(F.col(c).cast(kinds[c]).alias(c) for c in kinds)))
 

@@ -4,7 +4,8 @@ A :class:`Check` names the counters it needs as aggregate expressions. All check
 of a table are merged into a single aggregation, so a table is scanned once for every
 count and exact mean of every check. Audit and metric rows are projections of that one-row frame.
 Violations of all rules come from a second scan that tags each bad row with the
-rules it breaks.
+rules it breaks; :meth:`TableChecks.scanned_once` gets both from one scan, the counters as
+observed metrics of the scan that writes the violations.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.bands import severity as severity_of
@@ -77,6 +78,9 @@ class Check:
     severity: str = "MEDIUM"
 
 
+_TAGGED = "table_name string, rule_name string, violation_details string"
+
+
 @dataclass(frozen=True)
 class CheckResult:
     audit: DataFrame
@@ -116,15 +120,23 @@ class TableChecks:
         self.table, self.checks, self.run_id, self.as_of = table, list(checks), run_id, as_of
         self._id = _first_id(as_of, id_offset)
 
-    @cached_property
-    def counts(self) -> DataFrame:
-        """One row with every counter of every check."""
+    @property
+    def _by_row(self) -> list[Check]:
+        return [c for c in self.checks if c.violation is not None]
+
+    def _counters(self) -> dict[str, Column | Parts | ExactMean]:
         merged: dict[str, Column | Parts | ExactMean] = {}
         for check in self.checks:
             for name, expr in check.counters.items():
                 if name in merged and str(merged[name]) != str(expr):
                     raise ValueError(f"counter {name!r} is defined twice, differently")
                 merged[name] = expr
+        return merged
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        """One row with every counter of every check."""
+        merged = self._counters()
         if all(isinstance(expr, Column) for expr in merged.values()):
             return self.table.agg(*[expr.alias(name) for name, expr in merged.items()])
         return aggregate(self.table, [], merged)
@@ -142,6 +154,31 @@ class TableChecks:
         twin.__dict__["counts"] = one_row(self.table.sparkSession, **values)
         return twin
 
+    def scanned_once(self, stage: str) -> TableChecks:
+        """The same run with its counters and its violations out of a single scan: the bad rows
+        are written to the folder ``stage`` while Spark observes the counters of all rows on the
+        way. For a source that is dear to read twice, such as a batch of landed files. Where
+        counters are put together from parts, or no rule is about rows, this is
+        :meth:`pinned`."""
+        merged = self._counters()
+        if not self._by_row or any(not isinstance(expr, Column) for expr in merged.values()):
+            return self.pinned()
+        seen = Observation()
+        watched = self.table.observe(seen, *[expr.alias(name) for name, expr in merged.items()])
+        mark = f"@{uuid.uuid4().hex}:"  # stands for a counter until the scan is over
+        self._tagged(watched, mark).write.parquet(stage)
+        spark = self.table.sparkSession
+        values = {name: F.lit(value) for name, value in seen.get.items()}
+        twin = TableChecks(self.table, self.checks, self.run_id, self.as_of)
+        twin._id = self._id
+        twin.__dict__["counts"] = one_row(spark, **values)
+        written = spark.read.schema(_TAGGED).parquet(stage)
+        details = F.col("violation_details")
+        for name, value in seen.get.items():
+            details = F.replace(details, F.lit(f'"{mark}{name}"'), F.lit(str(value)))
+        twin.__dict__["_written"] = written.withColumn("violation_details", details)
+        return twin
+
     def _rows(self, structs: list[Column]) -> DataFrame:
         return self.counts.select(F.inline(F.array(*structs)))
 
@@ -201,21 +238,10 @@ class TableChecks:
     @property
     def violations(self) -> DataFrame:
         frames = []
-        by_row = [c for c in self.checks if c.violation is not None]
-        if by_row:
-            tagged = [
-                F.when(
-                    check.violation,
-                    F.struct(
-                        F.lit(check.table).alias("table_name"),
-                        F.lit(check.rule).alias("rule_name"),
-                        json_object(*self._fields(check)).alias("violation_details"),
-                    ),
-                )
-                for check in by_row
-            ]
-            bad = self.table.where(reduce(or_, [c.violation for c in by_row]))
-            frames.append(bad.select(F.inline(F.array_compact(F.array(*tagged)))))
+        if "_written" in self.__dict__:
+            frames.append(self.__dict__["_written"])
+        elif self._by_row:
+            frames.append(self._tagged(self.table))
         for check in self.checks:
             if check.table_fields:
                 frames.append(
@@ -233,10 +259,28 @@ class TableChecks:
             VIOLATIONS,
         )
 
-    def _fields(self, check: Check) -> list[Column]:
+    def _tagged(self, table: DataFrame, mark: str | None = None) -> DataFrame:
+        """A row for each rule that a row breaks; with ``mark``, marks in place of counters."""
+        tagged = [
+            F.when(
+                check.violation,
+                F.struct(
+                    F.lit(check.table).alias("table_name"),
+                    F.lit(check.rule).alias("rule_name"),
+                    json_object(*self._fields(check, mark)).alias("violation_details"),
+                ),
+            )
+            for check in self._by_row
+        ]
+        bad = table.where(reduce(or_, [c.violation for c in self._by_row]))
+        return bad.select(F.inline(F.array_compact(F.array(*tagged))))
+
+    def _fields(self, check: Check, mark: str | None) -> list[Column]:
         out = []
         for item in check.fields():
-            if isinstance(item, FromCounter):
+            if isinstance(item, FromCounter) and mark:
+                out.append(F.lit(f"{mark}{item.counter}").alias(item.name))
+            elif isinstance(item, FromCounter):
                 whole = self.counts.select(F.col(item.counter).cast("bigint")).scalar()
                 out.append(whole.alias(item.name))
             else:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fv
 from ..functions.times import clock, on_run_days, shifted, within_minutes
 from ..session import one_row
+from ..sinks.tables import publish_snapshots
 
 LINES_PER_PART = 500
 DEFAULT_TITLE = "DQ ALERT"
@@ -115,16 +117,29 @@ def publish_message(
     return one_row(spark, subject=F.lit("✅ KPIs published"), message=F.lit(text))
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """What a run sent: the alert's messages, or the publication's and its targets."""
+
+    branch: str
+    messages: DataFrame
+    published: dict[str, DataFrame] = field(default_factory=dict)
+
+
 def alert_or_publish(
     audit: DataFrame,
     as_of: dt.datetime | str,
-    publish: Callable[[], DataFrame],
+    frames: Callable[[], dict[str, tuple[DataFrame, Sequence[str]]]],
+    root: str,
     title: str = DEFAULT_TITLE,
-) -> tuple[str, DataFrame]:
-    """Any recent failure: the alert only. None: the KPI publication only.
+) -> Outcome:
+    """Any recent failure: the alert only. None: all KPI frames are published below ``root``, in
+    one commit, and after it the success message.
 
     Only a yes/no answer passes through the driver (one row is looked for)."""
     failures = recent_failures(audit, as_of)
-    if failures.isEmpty():
-        return "publish", publish()
-    return "alert", alert_messages(failures, title)
+    if not failures.isEmpty():
+        return Outcome("alert", alert_messages(failures, title))
+    published = publish_snapshots(frames(), root, as_of)
+    message = publish_message(audit.sparkSession, list(published), as_of)
+    return Outcome("publish", message, published)

@@ -286,6 +286,40 @@ def upserted(
     return dedup_latest(rows, key, ["snapshot_at"])
 
 
+def publish_snapshots(
+    frames: dict[str, tuple[DataFrame, Sequence[str]]], root: str, as_of: dt.datetime | str
+) -> dict[str, DataFrame]:
+    """Upsert several keyed frames, ``{target: (rows, key)}``, behind one pointer: readers of
+    :func:`read_published` see all targets of a publication or none. Every target is written to
+    the publication's folder, and one version of the manifest names them all. Publishing again
+    by the same clock changes nothing; a target that is not among ``frames`` stays as it is."""
+    spark = next(iter(frames.values()))[0].sparkSession
+    table, commit = manifest.newest(spark, root), manifest.new_commit()
+    for target, (rows, key) in frames.items():
+        old = _published(spark, root, table, target)
+        path = f"{manifest.data_path(root, commit)}/{target}"
+        upserted(old, rows, key, as_of).write.parquet(path)
+    listed = spark.createDataFrame([(t, commit) for t in frames], "target string, commit string")
+    if table is not None:
+        listed = listed.unionByName(table.files.where(~F.col("target").isin(list(frames))))
+    loads = spark.createDataFrame([], "load_id string")
+    manifest.publish(spark, root, listed, loads, table)
+    manifest.expire(spark, root)
+    return {target: read_published(spark, root, target) for target in frames}
+
+
+def _published(
+    spark: SparkSession, root: str, table: manifest.Version | None, target: str
+) -> DataFrame | None:
+    place = table and table.files.where(F.col("target") == target).select("commit").first()
+    return spark.read.parquet(f"{manifest.data_path(root, place[0])}/{target}") if place else None
+
+
+def read_published(spark: SparkSession, root: str, target: str) -> DataFrame | None:
+    """A target of the newest complete publication, or nothing."""
+    return _published(spark, root, manifest.newest(spark, root), target)
+
+
 def upsert_snapshot(
     new: DataFrame, root: str, key: Sequence[str], as_of: dt.datetime | str
 ) -> DataFrame:

@@ -17,6 +17,7 @@ from ..operators.checks import run_checks
 from ..operators.silver import LINEAGE, MERGE_KEY, silver_filter, silver_shape
 from ..plans.daily import run_all_checks
 from ..schemas import TRIP_NAMES, conform
+from ..session import scratch_path
 from ..sinks.export import ExportStatus, export_all
 from ..sinks.tables import (
     DEAD,
@@ -245,9 +246,13 @@ def stream_check_counts(
     as_of: dt.datetime | str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Check results per micro-batch: one run per batch, one aggregate per run."""
+    """Check results per micro-batch: one run per batch, and one scan of its files per run. The
+    counters are observed on the scan that writes the violations (``observe``), and all results
+    of the batch are committed together."""
+
     def step(batch: DataFrame, load_id: str) -> None:
-        run = run_checks(batch, checks(batch), as_of=as_of, run_id=load_id).pinned()
+        stage = scratch_path(batch.sparkSession, "violations")
+        run = run_checks(batch, checks(batch), as_of=as_of, run_id=load_id).scanned_once(stage)
         append_results(run.result, results_root)
 
     return _start(stream, step, checkpoint, every, "checks")

@@ -1,7 +1,9 @@
 """Checks: edges, invariants, plan shape."""
 
 import json
+import os
 import random
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -201,3 +203,32 @@ def test_planted_faults_are_counted_exactly(spark, seed, null_rate, outlier_rate
     checks = [rules.reading_null_rule(), rules.threshold_rule()]
     row = result(frame, checks).counts.collect()[0]
     assert (row.null_values, row.hazardous_rows) == (nulls, bad)
+
+
+def test_one_scan_gives_counts_and_violations(spark, folder):
+    """The rows pass once, and all result frames are those of the two-scan run."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    trips = inputs.trips(spark, SF)
+    scanned = trips.mapInArrow(watched, trips.schema)
+    wanted = [rules.null_rule(), rules.range_rule(), rules.geo_rule()]
+    run = run_checks(scanned, wanted, as_of="2024-01-30 12:00:00", run_id="r").scanned_once(f"{folder}/stage")
+    got = [Counter(map(tuple, f.collect())) for f in (run.audit, run.metrics, run.violations)]
+    assert passed.value == trips.count()
+    plain = run_checks(trips, wanted, as_of="2024-01-30 12:00:00", run_id="r").pinned()
+    assert got == [Counter(map(tuple, f.collect())) for f in (plain.audit, plain.metrics, plain.violations)]
+    none = run_checks(trips.limit(0), wanted, as_of="2024-01-30 12:00:00", run_id="r").scanned_once(f"{folder}/none")
+    assert [r.status for r in none.audit.collect()] == ["PASS"] * 3 and none.violations.isEmpty()
+
+
+def test_counters_in_parts_are_pinned_instead(spark, folder):
+    readings = inputs.readings(spark, SF)
+    run = run_checks(readings, [rules.threshold_rule()], as_of="2024-01-30 12:00:00", run_id="r")
+    once = run.scanned_once(f"{folder}/stage")
+    assert Counter(map(tuple, once.audit.collect())) == Counter(map(tuple, run.audit.collect()))
+    assert not os.path.exists(f"{folder}/stage")

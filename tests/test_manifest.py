@@ -210,3 +210,64 @@ def test_days_are_compacted_and_runs_still_replaced(spark, folder):
     assert not tables.compact_results(spark, folder, small_files=4)
     append(spark, folder, "r2", "2024-01-30", "12:02:00")  # sits in a rewritten file
     assert before == {n: tables.read_results(spark, folder, n).count() for n in before}
+
+
+# --- publications ----------------------------------------------------------------
+
+
+def test_targets_are_published_together_or_not_at_all(spark, folder, monkeypatch):
+    def frames(n):
+        one = spark.createDataFrame([("a", n), (f"x{n}", n)], "k string, n int")
+        return {"days": (one, ["k"]), "places": (one.withColumn("m", F.col("n") * 2), ["k"])}
+
+    def state():
+        out = {}
+        for target in ("days", "places"):
+            found = tables.read_published(spark, folder, target)
+            out[target] = found and sorted((r.k, r.n) for r in found.collect())
+        return out
+
+    assert state() == {"days": None, "places": None}
+    tables.publish_snapshots(frames(1), folder, "2024-01-01 00:00:00")
+    first = state()
+    assert first == {"days": [("a", 1), ("x1", 1)], "places": [("a", 1), ("x1", 1)]}
+
+    def dies(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "publish", dies)
+        with pytest.raises(RuntimeError):
+            tables.publish_snapshots(frames(2), folder, "2024-01-02 00:00:00")
+    assert state() == first
+    for _ in range(2):
+        tables.publish_snapshots(frames(2), folder, "2024-01-02 00:00:00")
+        assert state()["places"] == [("a", 2), ("x1", 1), ("x2", 2)]
+    tables.publish_snapshots({"days": frames(3)["days"]}, folder, "2024-01-03 00:00:00")
+    assert len(state()["days"]) == 4 and len(state()["places"]) == 3
+
+
+def test_failures_are_told_and_nothing_is_published(spark, folder):
+    audit = spark.sql(
+        "SELECT 1L AS log_id, 't' AS table_name, 'c' AS check_name, 'FAIL' AS status, 500L AS row_count, "
+        "200L AS issue_count, TIMESTAMP_NTZ '2024-01-30 11:30:00' AS run_timestamp"
+    )
+    frames = lambda: {"days": (spark.createDataFrame([("a", 1)], "k string, n int"), ["k"])}
+    told = alerts.alert_or_publish(audit, "2024-01-30 12:00:00", frames, folder)
+    assert told.branch == "alert" and told.messages.count() == 1 and not told.published
+    assert tables.read_published(spark, folder, "days") is None
+    quiet = alerts.alert_or_publish(audit, "2024-01-30 13:00:00", frames, folder)
+    assert quiet.branch == "publish" and list(quiet.published) == ["days"]
+    assert "✅ days — rows written" in quiet.messages.first().message
+
+
+def test_alert_parts_hold_the_newest_lines_first(spark):
+    audit = spark.range(1300).selectExpr(
+        "id AS log_id", "'t' AS table_name", "'c' AS check_name", "'FAIL' AS status", "500L AS row_count",
+        "200L AS issue_count", "TIMESTAMP_NTZ '2024-01-30 11:30:00' + make_dt_interval(0, 0, 0, id div 200) AS run_timestamp",
+    )
+    failures = alerts.recent_failures(audit, "2024-01-30 12:00:00")
+    parts = {r.part: r for r in alerts.alert_messages(failures).collect()}
+    assert sorted(parts) == [0, 1, 2] and {r.failures for r in parts.values()} == {1300}
+    assert [r.message.count("•") for _, r in sorted(parts.items())] == [500, 500, 300]
+    assert alerts.alert_messages(failures.limit(0)).count() == 0
