@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -15,7 +15,8 @@ from ..functions.predicates import any_null, bad_coordinates, outside_open_range
 from ..functions.times import clock
 from ..schemas import TRIP_NAMES
 from . import rules
-from .skew import first_per_key, left_anti_spread, mark_first
+from .bloom import may_be_among
+from .skew import first_per_key, hot_keys, lane_of, left_anti_spread, mark_first
 
 LINEAGE = ["__source_file", "__row_num"]
 UNIQUE_KEY = ["pickup_datetime", "dropoff_datetime"]
@@ -76,8 +77,27 @@ def with_first_flag(
 def quarantine(
     df: DataFrame, key: Sequence[str] = UNIQUE_KEY, order_by: Sequence[str] = LINEAGE
 ) -> DataFrame:
-    """The surplus rows of repeated keys: all but the first by ``order_by``."""
-    return with_first_flag(df, key, order_by).where(~F.col("is_first")).drop("is_first")
+    """The surplus rows of repeated keys: all but the first by ``order_by``.
+
+    Keys are counted first, without the other columns. A Bloom filter of the repeated ones, of
+    bounded size, is sent to all tasks, and only rows that pass it (those of repeated keys, and
+    by chance a few others) are shuffled whole, once. Keys of very many rows are dealt over
+    lanes; the first of each lane meet in a second, small step.
+    """
+    counted = df.where(~any_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    repeated = counted.where("__n > 1")
+    candidates = may_be_among(df, repeated, key)
+    hot = F.broadcast(hot_keys(repeated, key))
+    lane = lane_of(order_by, F.coalesce(F.col("__lanes"), F.lit(1)))
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    ranked = (
+        candidates.join(hot, list(key), "left")
+        .withColumn("__lane", lane)
+        .withColumn("__rank", F.row_number().over(Window.partitionBy(*key, "__lane").orderBy(*order)))
+    )
+    first = ranked.where("__rank = 1 AND __lanes > 1")
+    later = first.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return ranked.unionByName(later).where("__rank > 1").select(*df.columns)
 
 
 def dedup_by_key(

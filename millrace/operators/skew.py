@@ -46,11 +46,20 @@ def frequent_keys(
     max(rows_per_lane, N / limit) rows and takes the plain path. Ties are ordered by the
     key, so that two evaluations give the same list.
     """
+    counted = df.where(~any_null(key)).groupBy(*key).agg(F.count(F.lit(1)).alias("__n"))
+    return hot_keys(counted, key, rows_per_lane, limit)
+
+
+def hot_keys(
+    counted: DataFrame,
+    key: Sequence[str],
+    rows_per_lane: int | None = None,
+    limit: int = FREQUENT_KEYS,
+) -> DataFrame:
+    """As :func:`frequent_keys`, of keys that are counted already as ``__n``."""
+    rows_per_lane = rows_per_lane or ROWS_PER_LANE
     return (
-        df.where(~any_null(key))
-        .groupBy(*key)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > rows_per_lane)
+        counted.where(F.col("__n") > rows_per_lane)
         .orderBy(F.col("__n").desc(), *key)
         .limit(limit)
         .select(*key, F.ceil(F.col("__n") / rows_per_lane).cast("int").alias("__lanes"))

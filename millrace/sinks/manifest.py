@@ -12,9 +12,7 @@ writer per table is assumed.
     <root>/manifest/<version>           a row for each live file, and for each committed load
 
 A file's row holds its number of rows and, for keyed tables, the range of its keys and the size
-of its Bloom filter. A filter is cut in buckets of 32,768 bits, chosen by one hash of the key;
-another hash sets four bits in the bucket. So filters are built, joined and tested by built-in
-functions, and never pass through the driver.
+of its Bloom filter (:mod:`millrace.operators.bloom`). Filters never pass through the driver.
 """
 
 from __future__ import annotations
@@ -22,18 +20,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.predicates import any_null
+from ..operators.bloom import BUCKET_BITS, KEY_BITS, all_set, buckets, hashes
 
-BUCKET_BITS = 1 << 15
-KEY_BITS = 12  # bits of a filter for each key
-SET_BITS = 4  # bits that a key sets
 BINS = 1024  # steps of the range of a load's keys
 BROADCAST_ROWS = 200_000  # most rows of a list of files that is sent to all executors
 KEPT_VERSIONS = 4
@@ -142,15 +136,6 @@ def expire(spark: SparkSession, root: str, keep: int = KEPT_VERSIONS) -> None:
 # --- keys ------------------------------------------------------------------------
 
 
-def _hash(key: Sequence[str]) -> tuple[Column, Column]:
-    """The hash that chooses a bucket, and the one that chooses bits."""
-    return F.xxhash64(*key), F.xxhash64(F.lit(7), *key)
-
-
-def _bits(h: str) -> list[Column]:
-    return [F.shiftrightunsigned(h, 15 * n).bitwiseAND(F.lit(BUCKET_BITS - 1)) for n in range(SET_BITS)]
-
-
 def position(column: Column, kind: str) -> Column:
     """A whole number that rises with the column, as far as its type has one."""
     if kind == "timestamp_ntz":
@@ -188,28 +173,21 @@ def write_filters(
 ) -> None:
     """The Bloom filters of a commit's files."""
     rows = spark.read.schema(schema).parquet(data_path(root, commit))
-    spot, bits = _hash(key)
+    spot, bits = hashes(key)
     hashed = (
         rows.where(~any_null(key))
         .select(F.col("_metadata.file_name").alias("name"), spot.alias("spot"), bits.alias("h"))
         .join(F.broadcast(files.where(F.col("commit") == commit).select("name", "buckets")), "name")
-        .select("name", F.pmod("spot", "buckets").alias("bucket"), F.explode(F.array(*_bits("h"))).alias("bit"))
+        .select("name", F.pmod("spot", "buckets").alias("bucket"), "h")
     )
     (
-        hashed.groupBy("name", "bucket")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        buckets(hashed, ["name", "bucket"])
         .select(F.lit(commit).alias("commit"), "name", "bucket", "bits")
         .write.mode("overwrite")
         .parquet(f"{root}/filters/{commit}")
     )
 
 
-def _is_set(bits: str, bit: Column) -> Column:
-    byte = F.substring(F.col(bits), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("bigint")
-    return F.getbit(value, bit.bitwiseAND(F.lit(7)).cast("int")) == 1
-
-
 def may_hold(spark: SparkSession, root: str, files: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Those of ``files`` that may hold a key of ``source``, by key range and Bloom filter.
 
@@ -247,7 +225,7 @@ def may_hold(spark: SparkSession, root: str, files: DataFrame, source: DataFrame
     )
     if sum(r.files for r in held_rows.values()) * BINS <= BROADCAST_ROWS:
         laid = F.broadcast(laid)
-    spot, bits = _hash(key)
+    spot, bits = hashes(key)
     asked = rows.distinct().select(first.alias("k"), step(first).alias("step"), spot.alias("spot"), bits.alias("h"))
     pairs = (
         asked.join(laid, "step")
@@ -257,7 +235,5 @@ def may_hold(spark: SparkSession, root: str, files: DataFrame, source: DataFrame
     filters = spark.read.schema("commit string, name string, bucket bigint, bits binary").parquet(
         *[f"{root}/filters/{c}" for c in held_rows]
     )
-    held = pairs.join(filters, ["commit", "name", "bucket"]).where(
-        reduce(and_, [_is_set("bits", b) for b in _bits("h")])
-    )
+    held = pairs.join(filters, ["commit", "name", "bucket"]).where(all_set("bits", "h"))
     return files.join(F.broadcast(held.select("commit", "name").distinct()), ["commit", "name"], "left_semi")

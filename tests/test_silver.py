@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.catalogue import inputs
-from millrace.operators import silver, skew
+from millrace.operators import bloom, silver, skew
 from millrace.sinks import tables
 
 SF = "/root/testdata/sf0.001"
@@ -85,6 +85,51 @@ def test_hot_key_is_ranked_in_many_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def surplus_of(rows):
+    """All but the first of every complete key, by n."""
+    out, seen = Counter(), set()
+    for k, n in sorted((r for r in rows if r[0] is not None), key=lambda r: r[1]):
+        if k in seen:
+            out[(k, n)] += 1
+        seen.add(k)
+    return out
+
+
+@pytest.mark.parametrize("rows_per_lane", [1_000_000, 40])
+def test_quarantine_is_all_but_the_first(spark, monkeypatch, rows_per_lane):
+    """Also where the repeated keys are dealt over lanes."""
+    monkeypatch.setattr(skew, "ROWS_PER_LANE", rows_per_lane)
+    rng = random.Random(4)
+    rows = [(4 if rng.random() < 0.4 else rng.randrange(900), n) for n in range(2000)]
+    rows += [(None, n) for n in range(3000, 3050)] + [(5000 + n, n) for n in range(4000, 4500)]
+    got = silver.quarantine(frame(spark, rows), ["k"], ["n"])
+    assert got.columns == ["k", "n"] and Counter(map(tuple, got.collect())) == surplus_of(rows)
+
+
+def test_only_rows_of_repeated_keys_are_shuffled_whole(spark):
+    rows = spark.range(20_000).selectExpr("IF(id < 60, id % 20, id) AS k", "id AS n", "repeat('x', 50) AS payload")
+    repeated = rows.groupBy("k").count().where("count > 1").select("k")
+    passed = bloom.may_be_among(rows, repeated, ["k"]).count()
+    assert 60 <= passed < 200  # of 20,000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = silver.quarantine(rows, ["k"], ["n"])._jdf.queryExecution().executedPlan()
+        exchanges = [line for line in plan.toString().splitlines() if "Exchange hashpartitioning" in line]
+        whole = {line.split("hashpartitioning(")[1].split(",")[0:2][1].split("#")[0].strip() for line in exchanges}
+        assert "__lane" in whole and sum("__lane" in line for line in exchanges) <= 2  # one, read twice
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert silver.quarantine(rows, ["k"], ["n"]).count() == 40
+
+
+def test_a_filter_lets_every_key_pass(spark):
+    keys = spark.range(0, 30_000, 3).select(F.col("id").alias("k"))
+    asked = spark.range(30_000).select(F.col("id").alias("k"), F.lit(1).alias("n"))
+    passed = bloom.may_be_among(asked, keys, ["k"])
+    assert passed.where("k % 3 = 0").count() == 10_000 and passed.count() < 10_400
+    assert bloom.may_be_among(asked, keys.limit(0), ["k"]).count() == 0
+
+
 def test_quarantine_and_dedup_partition_the_rows(spark):
     rows = inputs.silver(spark, SF, lineage=True)
     kept = silver.dedup_by_key(rows).count()
