@@ -10,7 +10,7 @@ from ..operators.rules import geo_rule, null_rule, range_rule
 from ..schemas import BRONZE, TRIP_NAMES
 from ..session import scratch_path
 from ..sinks import tables
-from ..streaming import jobs
+from ..streaming import jobs, revisions
 from . import inputs as i
 from .checks import AUDIT_COLUMNS, FARE, GEO, NULLS, READING_AUDIT_SQL
 from .files import first_load
@@ -277,3 +277,32 @@ def stream_hourly_trend(spark, sf_dir):
     jobs.finish(jobs.write_stream(stream, f"{root}/out", f"{root}/state"))
     return spark.read.schema(stream.schema).parquet(f"{root}/out")
 
+
+_LATE, _HORIZON_DAYS = "metric_id % 50 = 0", 3
+_REACHED = f"""run_timestamp > (SELECT max(run_timestamp) FROM metrics WHERE NOT ({_LATE}))
+ - INTERVAL {_HORIZON_DAYS} DAY"""
+
+
+@query(
+    "stream_trend_revisions",
+    i.over(
+        "metrics",
+        f"""{TREND}, CAST(max(CASE WHEN {_LATE} THEN 1 ELSE 0 END)
+ + max(CASE WHEN {_LATE} THEN 0 ELSE 1 END) AS INTEGER) AS revision,
+ (SELECT count(*) FROM metrics WHERE {_LATE} AND NOT ({_REACHED})) AS behind
+FROM metrics WHERE NOT ({_LATE}) OR {_REACHED} GROUP BY time_bucket, table_name, metric_name""",
+    ),
+)
+def stream_trend_revisions(spark, sf_dir):
+    """One row in fifty arrives after all others: within the horizon it revises its hour, before
+    that it is counted."""
+    root = scratch_path(spark, "trend-revisions")
+    metrics, behind = i.metrics(spark, sf_dir), 0
+    for delivery in (metrics.where(f"NOT ({_LATE})"), metrics.where(_LATE)):
+        delivery.write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(metrics.schema).parquet(f"{root}/in")
+        stream = revisions.revised_trend_stream(source, f"{_HORIZON_DAYS} days")
+        done = jobs.finish(revisions.write_revisions(stream, f"{root}/out", f"{root}/state"))
+        behind += revisions.behind_horizon(done)
+    found = spark.read.schema(revisions.REVISED).parquet(f"{root}/out")
+    return revisions.newest_revisions(found).withColumn("behind", F.lit(behind).cast("bigint"))
