@@ -360,28 +360,37 @@ def replaced(documents: DataFrame, key: int = 20240101) -> DataFrame:
     """``row`` (all columns of ``documents``, the text rewritten) and ``n_mentions``.
 
     Texts without a mention, null and empty ones stay as they are and move nowhere. Of the
-    others only the mentions are gathered, once per distinct text; the rewritten texts come
-    from one join on a 128-bit text key. Repeated rows are rewritten alike. Null keys and
+    others the mentions are gathered and the text rewritten once per distinct text; the rewritten
+    texts come from one join on a 128-bit text key. Texts are searched in three passes: to gather
+    what to rewrite, to find the rows that change, and those that stay. Repeated rows are rewritten alike. Null keys and
     extra columns of any name are kept; an empty table gives no rows.
     """
-    text = documents["text"]
-    keyed = documents.select(F.struct("*").alias("row"), text.alias("text"))
-    hinted = may_mention(F.col("text"))
-    some = keyed.withColumn("found", F.when(hinted, mentions(F.col("text"))))
+    names = [c for c in documents.columns if c != "text"]
+    # the other columns as one, never empty
+    row = F.struct(F.lit(True).alias("__row"), *(documents[c] for c in names)).alias("row")
+    keyed = documents.select(row, documents["text"].alias("text"))
+    found = F.when(may_mention(F.col("text")), mentions(F.col("text")))
+    some = keyed.withColumn("found", found)
     mentioning = F.coalesce(F.size("found"), F.lit(0)) > 0
+    with_text = some.where(mentioning).withColumn("text_key", text_key(F.col("text")))
+    # stored, so that what is worked out from the mentions below starts no other pass over texts
+    distinct = stored(
+        with_text.groupBy("text_key").agg(
+            F.any_value("text").alias("text"), F.any_value("found").alias("found")
+        ),
+        "texts-with-mentions",
+    )
     named = F.filter("found", lambda m: kind_of(m) == "name")
-    with_key = (
-        some.where(mentioning)
-        .withColumn("text_key", text_key(F.col("text")))
-        .withColumn("again", words_again(named))
+    with_key = stored(
+        distinct.withColumn("again", words_again(named))
         .withColumn("pattern", F.concat(F.lit(MENTION), F.coalesce(again_pattern("again"), F.lit(""))))
-        .withColumn("found", F.regexp_extract_all("text", F.col("pattern"), F.lit(0)))
+        .withColumn("found", F.regexp_extract_all("text", F.col("pattern"), F.lit(0))),
+        "texts-with-words",
     )
     # a word that names again stands for its place in the titled name: (mention, place)
     place = F.get(F.filter("again", lambda a: F.array_contains(a["forms"], F.col("said"))), F.lit(0))
     by_text = stored(
-        with_key.select("text_key", "found", "again").distinct()
-        .select("text_key", "again", F.posexplode("found").alias("i", "said"))
+        with_key.select("text_key", "again", F.posexplode("found").alias("i", "said"))
         .withColumn("place", place)
         .select(
             "text_key", "i", "said", F.coalesce("place.name", "said").alias("mention"),
@@ -409,14 +418,21 @@ def replaced(documents: DataFrame, key: int = 20240101) -> DataFrame:
         ),
         "",
     )
-    names = documents.columns
+    changes = stored(
+        with_key.join(texts, "text_key").select(
+            "text_key", rewritten.alias("text"), F.size("new").alias("n")
+        ),
+        "rewritten-texts",
+    )
 
-    def rows(of: DataFrame, value: Column, n: Column) -> DataFrame:
-        columns = [value.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in names]
+    def rows(of: DataFrame, n: Column) -> DataFrame:
+        columns = [
+            F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in documents.columns
+        ]
         return of.select(F.struct(*columns).alias("row"), n.cast("long").alias("n_mentions"))
 
-    changed = rows(with_key.join(texts, "text_key"), rewritten, F.size("new"))
-    same = rows(some.where(~mentioning), F.col("text"), F.lit(0))
+    changed = rows(with_text.select("row", "text_key").join(changes, "text_key"), F.col("n"))
+    same = rows(some.where(~mentioning), F.lit(0))
     return same.unionByName(changed)
 
 
