@@ -424,19 +424,19 @@ UNION ALL SELECT 'Pipeline_Health', 2
 UNION ALL SELECT 'OpenAQ_KPIs', count(*) FROM ({PER_LOCATION}) k"""
 
 
-def published_text(as_of: str) -> str:
-    """Subject and message of a publication as SQL."""
+def published_text(run: str) -> str:
+    """Subject and message of a publication as SQL; ``run`` gives the text of its clock."""
     return f"""'✅ KPIs published' AS subject,
  'KPI publish complete.' || chr(10) || chr(10) || '✅ NYC_Taxi_KPIs — rows written' || chr(10)
  || '✅ Pipeline_Health — rows written' || chr(10) || '✅ OpenAQ_KPIs — rows written' || chr(10)
- || chr(10) || 'Time: {as_of}' AS message"""
+ || chr(10) || 'Time: ' || {run} AS message"""
 
 
 @query(
     "publish_message",
     i.over(
         "silver readings",
-        f"SELECT target, row_count, {published_text(i.READINGS_CLOCK)} FROM ({PUBLISHED}) t",
+        f"SELECT target, row_count, {published_text(f"'{i.READINGS_CLOCK}'")} FROM ({PUBLISHED}) t",
     ),
 )
 def publish_kpis(spark, sf_dir):

@@ -253,7 +253,7 @@ def join_lines(spark, sf_dir):
 SELECT '{i.RESULTS_CLOCK}' AS run, 'alert' AS branch, NULL AS target, NULL AS row_count,
  '🔴 DQ ALERT — ' || n || ' FAIL(s) detected' AS subject, NULL AS message
 FROM total, range(CAST(ceil(n / {alerts.LINES_PER_PART}) AS BIGINT)) WHERE n > 0
-UNION ALL SELECT run, 'publish', target, row_count, {published_text(_QUIET_CLOCK)}
+UNION ALL SELECT run, 'publish', target, row_count, {published_text("run")}
 FROM ({PUBLISHED}) t, (SELECT '{_QUIET_CLOCK}' AS run
  UNION ALL SELECT '{i.RESULTS_CLOCK}' FROM total WHERE n = 0) r""",
     ),

@@ -38,4 +38,4 @@ def test_entry_gives_seven_checks(spark):
 def test_contract_names():
     queries, twins = contract.queries(), contract.oracle_sql()
     assert set(twins) <= set(queries)
-    assert set(CATALOGUE) == set(twins)
+    assert set(CATALOGUE) <= set(twins)
