@@ -320,12 +320,12 @@ def test_many_failures_are_split_and_complete(spark):
     assert 5 < len(parts) <= 10 and len(lines) == len(set(lines)) == 1000
 
 
-def test_alert_or_publish(spark):
-    published = spark.range(3)
-    audit = failures(spark, 1)
-    assert alerts.alert_or_publish(audit, CLOCK, lambda: published)[0] == "alert"
-    branch, frame = alerts.alert_or_publish(audit, "2024-01-30 13:00:00", lambda: published)
-    assert branch == "publish" and frame is published
+def test_alert_or_publish(spark, folder):
+    frames = lambda: {"kpis": (spark.range(3).toDF("k"), ["k"])}
+    alert = alerts.alert_or_publish(failures(spark, 1), CLOCK, frames, folder)
+    assert alert.branch == "alert" and not alert.published
+    publish = alerts.alert_or_publish(failures(spark, 1).limit(0), CLOCK, frames, folder)
+    assert publish.branch == "publish" and publish.published["kpis"].count() == 3
 
 
 def test_scorecard_of_150_checks(spark):
