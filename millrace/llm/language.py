@@ -139,6 +139,7 @@ def prototypes(
             if sum(map(len, counted.values())) > CACHED_GRAMS:
                 bundle()
         bundle()
+        _spaces.clear()
         if sums:
             yield pd.DataFrame({"lang": list(sums), "vector": list(sums.values())})
 
@@ -168,8 +169,7 @@ def predicted(
     names = list(languages)
     unit = np.array([languages[n] / np.linalg.norm(languages[n]) for n in names])
 
-    @F.pandas_udf("lang_pred string, score double")
-    def of(texts: pd.Series) -> pd.DataFrame:
+    def named(texts: pd.Series) -> pd.DataFrame:
         space, out = _space(dimensions, seed), []
         for text in texts:
             found, counts = grams(text) if text and names else ((), ())
@@ -183,6 +183,13 @@ def predicted(
             out.append((names[best], float(min(1.0, max(0.0, cosines[best])))))
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
+    @F.pandas_udf("lang_pred string, score double")
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        try:
+            yield from map(named, parts)
+        finally:  # Python workers outlive the task and run other operators
+            _spaces.clear()
+
     return of(text)
 
 
