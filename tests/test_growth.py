@@ -28,3 +28,14 @@ def test_trips_are_dealt_out_only_where_the_scan_is_uneven(spark, monkeypatch):
     dealt = inputs.trip_bridge(spark, DATA)
     assert "hashpartitioning(__row_num" in plan(dealt)  # round robin would sort all rows
     assert even.exceptAll(dealt).isEmpty() and dealt.exceptAll(even).isEmpty()
+
+
+def test_drift_reads_payloads_once(spark, folder):
+    spark.range(10).selectExpr(
+        "parse_json(CASE id WHEN 0 THEN '7' WHEN 1 THEN '{\"fare_amount\":\"n/a\",\"x\":1}' ELSE '{}' END) AS v"
+    ).write.parquet(folder + "/docs")
+    drift = payload_drift(spark.read.schema("v variant").parquet(folder + "/docs"), "v", TRIP_CONTRACT)
+    assert plan(drift).count("FileScan") == 1
+    found = {(r.column_name, r.finding): r.payloads for r in drift.collect()}
+    assert found[("fare_amount", "mismatch")] == 1 and found[("fare_amount", "missing")] == 9
+    assert found[("x", "unexpected")] == 1 and found[("extra", "missing")] == 10
