@@ -30,6 +30,28 @@ def test_trips_are_dealt_out_only_where_the_scan_is_uneven(spark, monkeypatch):
     assert even.exceptAll(dealt).isEmpty() and dealt.exceptAll(even).isEmpty()
 
 
+def test_large_merges_get_more_shuffle_partitions(spark, monkeypatch):
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
+    rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id % 500) AS k", "id AS n")
+    target = spark.range(250).selectExpr("id AS k")
+    plain = skew.left_anti_spread(rows, target, ["k"], spread_by=["n"])
+    wide = skew.left_anti_spread(rows, target, ["k"], spread_by=["n"], rows=1000)
+    assert re.search(r"hashpartitioning\(k#\w+, __lane#\w+, 10\)", plan(wide))
+    assert sorted(r.n for r in wide.collect()) == sorted(r.n for r in plain.collect())
+
+
+def test_filter_bits_are_gathered_without_a_row_for_each_bit(spark):
+    rows = spark.range(500).selectExpr("id % 3 AS b", "xxhash64(id) AS h")
+    made = bloom.buckets(rows, ["b"])
+    found = {r.b: bytes(r.bits) for r in made.collect()}
+    places = rows.select("b", F.explode(F.array(*bloom.bit_places("h"))).alias("p")).distinct()
+    wanted = {b: bytearray(bloom.BUCKET_BITS // 8) for b in range(3)}
+    for r in places.collect():
+        wanted[r.b][r.p // 8] |= 1 << r.p % 8
+    assert found == {b: bytes(w) for b, w in wanted.items()}
+    assert "Generate" not in plan(made).split("bitmap_construct_agg")[-1]
+
+
 def test_drift_reads_payloads_once(spark, folder):
     spark.range(10).selectExpr(
         "parse_json(CASE id WHEN 0 THEN '7' WHEN 1 THEN '{\"fare_amount\":\"n/a\",\"x\":1}' ELSE '{}' END) AS v"
