@@ -30,6 +30,33 @@ def test_trips_are_dealt_out_only_where_the_scan_is_uneven(spark, monkeypatch):
     assert even.exceptAll(dealt).isEmpty() and dealt.exceptAll(even).isEmpty()
 
 
+def test_landed_rows_are_numbered_without_a_shuffle(spark, folder):
+    spark.range(1000).selectExpr(*[f"id AS {n}" for n in TRIP_NAMES]).repartition(3).write.option(
+        "header", True
+    ).csv(f"{folder}/in")
+    rows = with_row_numbers(scan_csv(spark, f"{folder}/in", TRIP_NAMES))
+    assert "BroadcastHashJoin" in plan(rows) and "SortMergeJoin" not in plan(rows)
+    seen = []
+
+    def step(batch, _load_id):
+        numbered = with_row_numbers(batch, counted_first=True)
+        seen.append((plan(numbered), numbered.groupBy("file_name").agg(F.max("file_row_number")).collect()))
+
+    stream = jobs.landing_stream(spark, f"{folder}/in", "CSV", columns=TRIP_NAMES)
+    jobs.finish(jobs._start(stream, step, f"{folder}/state", None, "csv"))
+    assert "BroadcastHashJoin" in seen[0][0] and "SortMergeJoin" not in seen[0][0]
+    assert sum(r[1] for r in seen[0][1]) == 1000
+
+
+def test_whole_texts_are_numbered_without_a_second_scan(spark, folder):
+    spark.range(6).selectExpr("CAST(id AS STRING) AS value").repartition(3).write.text(folder + "/in")
+    rows = with_row_numbers(scan_texts(spark, f"{folder}/in"))
+    assert plan(rows).count("FileScan") == 1
+    assert {r.file_row_number for r in rows.collect()} == {1}
+    lines = with_row_numbers(scan_texts(spark, f"{folder}/in", lines=True))
+    assert sorted(r.file_row_number for r in lines.collect())[-1] > 1
+
+
 def test_large_merges_get_more_shuffle_partitions(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
     rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id % 500) AS k", "id AS n")
