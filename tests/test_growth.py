@@ -57,6 +57,45 @@ def test_whole_texts_are_numbered_without_a_second_scan(spark, folder):
     assert sorted(r.file_row_number for r in lines.collect())[-1] > 1
 
 
+def test_a_silver_batch_holds_typed_rows_and_no_payload(spark, folder):
+    bronze = "raw_data variant, file_name string, file_row_number bigint, load_timestamp timestamp_ntz"
+    spark.sql(
+        """SELECT parse_json('{"pickup_datetime":"2024-01-01 00:00:00"}') AS raw_data, 'f' AS file_name,
+        1L AS file_row_number, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS load_timestamp"""
+    ).write.parquet(f"{folder}/bronze")
+    seen = []
+    jobs.finish(
+        jobs.stream_to_silver(
+            spark.readStream.schema(bronze).parquet(f"{folder}/bronze"),
+            f"{folder}/silver",
+            f"{folder}/state",
+            as_of=CLOCK,
+            filtered=False,
+            then=lambda batch, _: seen.append((dict(batch.dtypes), batch.count())),
+        )
+    )
+    assert set(TRIP_NAMES) <= set(seen[0][0]) and "variant" not in seen[0][0].values()
+    assert seen[0][1] == 1
+
+
+def test_payloads_are_typed_in_one_pass_or_key_by_key_alike(spark):
+    docs = [
+        '{"pickup_datetime":"bad","fare_amount":"12.555","passenger_count":"x","rate_code":{"a":1}}',
+        '{"pickup_datetime":"2024-01-01 00:00:01","passenger_count":3.7,"fare_amount":null,"rate_code":5}',
+        '{"trip_distance":1e30,"pickup_longitude":"1.5"}', '{"Fare_amount":3}', "{}", "[1]", "7", "null",
+    ]
+    rows = spark.createDataFrame([(d,) for d in docs] + [(None,)], "j string").select(
+        F.parse_json("j").alias("raw_data"),
+        F.col("j").alias("file_name"),
+        F.lit(1).alias("file_row_number"),
+        F.lit(CLOCK).alias("load_timestamp"),
+    )
+    one, by_key = (typed_trips(rows, at_once=a).select(*TRIP_NAMES, "__ingested_file") for a in (True, False))
+    assert one.schema == by_key.schema
+    assert one.collect() == by_key.collect()
+    assert plan(silver_filter(one)).count("try_variant_get(") == 1
+
+
 def test_large_merges_get_more_shuffle_partitions(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
     rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id % 500) AS k", "id AS n")
