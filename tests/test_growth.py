@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from millrace.catalogue import inputs
+from millrace.catalogue import CATALOGUE, inputs
 from millrace.operators import bloom, skew
 from millrace.operators.bronze import typed_trips, with_row_numbers
 from millrace.operators.schema_check import payload_drift
@@ -96,6 +96,42 @@ def test_payloads_are_typed_in_one_pass_or_key_by_key_alike(spark):
     assert plan(silver_filter(one)).count("try_variant_get(") == 1
 
 
+ODD_CELLS = [
+    "2024-01-01 00:00:01", "2024-1-5", "2024-01-01T10:00:00.123456789", "2024-01-01T10:00:00+02:00",
+    "10:00", " 12 ", "1e3", "-0", "+7", "1.5", ".5", "12.555", "12.545", "1e30", "99999999999999999999",
+    "NaN", "-inf", "Infinity", "0x1F", "1d", "true", "null", "NULL", "abc", "\u0661", "1,5", "\tx", "",
+]
+
+
+def test_cells_are_typed_as_their_payloads_and_make_none(spark, folder):
+    # every odd text in every column, one column left out of the files, one unknown to the contract
+    names = [*TRIP_NAMES[:-1], "More"]
+    rows = spark.createDataFrame([(t,) for t in ODD_CELLS] + [(None,)], "t string")
+    rows.select(*[F.col("t").alias(n) for n in names]).write.option("header", True).csv(f"{folder}/in")
+    empty = {"file_row_number": F.lit(None), "load_timestamp": F.lit(None)}
+    kept, plain = (
+        typed_trips(scan_csv(spark, f"{folder}/in", names, cells=c).withColumns(empty)) for c in (True, False)
+    )
+    assert kept.schema == plain.schema
+    wanted = [*TRIP_NAMES, F.col("__raw_payload").cast("string"), "__ingested_file"]
+    got, want = ([str(r) for r in v.select(*wanted).collect()] for v in (kept, plain))
+    assert sorted(got) == sorted(want) and len(got) == len(ODD_CELLS) + 1
+    assert "variant" in plan(plain.select(*TRIP_NAMES))
+    assert "variant" not in plan(kept.select(*TRIP_NAMES))
+
+
+def test_streamed_checks_make_no_payloads(spark, monkeypatch):
+    seen, start = [], jobs.stream_check_counts
+    monkeypatch.setattr(
+        jobs, "stream_check_counts", lambda *a, **k: seen.append(start(*a, **k)) or seen[-1]
+    )
+    assert CATALOGUE["stream_dq_metrics"].run(spark, DATA).count() == 6
+    for done in seen:
+        ran = done._jsq.explainInternal(False)
+        assert "csv" in ran and "variant" not in ran
+    assert len(seen) == 2
+
+
 def test_large_merges_get_more_shuffle_partitions(spark, monkeypatch):
     monkeypatch.setattr(skew, "ROWS_PER_TASK", 100)
     rows = spark.range(1000).selectExpr("IF(id % 10 = 0, NULL, id % 500) AS k", "id AS n")
