@@ -363,6 +363,97 @@ def test_gradients():
         assert abs(slope - grad[name][at]) < 2e-3 * max(1, abs(slope))
 
 
+def test_gradients_of_all_weights(monkeypatch):
+    random = np.random.default_rng(1)
+    weights = gru.initial(random.integers(1, 9, gru.HEAD).astype(float), np.ones(gru.TAILS))
+    weights = {k: v.astype(np.float64) for k, v in weights.items()}
+    ids = random.integers(0, 70, (5, 3))  # words of three classes
+    ids[2:4, 1] = gru.HEAD + 5, gru.HEAD + 63
+    mask, h = np.ones((4, 3)), random.uniform(-1, 1, (3, gru.HIDDEN))
+    mask[2:, 0] = 0
+    results = []
+    for bound in (gru.LOGIT_BOUND, 0.0):  # without and with the largest logit taken off
+        monkeypatch.setattr(gru, "LOGIT_BOUND", bound)
+        results.append(gru.gradients(weights, ids[:-1], ids[1:], mask, h))
+    (_, grad, last), (_, shifted, _) = results
+    for name, x in weights.items():
+        assert np.allclose(grad[name], shifted[name], atol=1e-12)
+        across = random.normal(size=x.shape)  # the slope along one direction takes in every cell
+        up, down = (
+            gru.gradients({**weights, name: x + e * across}, ids[:-1], ids[1:], mask, h)[0]
+            for e in (1e-5, -1e-5)
+        )
+        assert abs((up - down) / 2e-5 - (grad[name] * across).sum()) < 1e-6
+    # the loss is that of the scores, the state that of a step at a time
+    states, step = [], h
+    for t in range(4):
+        a = weights["E"][ids[t]] @ weights["Wx"] + weights["b"]
+        g, sigmoid = step @ weights["Wh"], lambda x: 1 / (1 + np.exp(-x))
+        z, r = (sigmoid(a[:, k : k + gru.HIDDEN] + g[:, k : k + gru.HIDDEN]) for k in (0, gru.HIDDEN))
+        n = np.tanh(a[:, 2 * gru.HIDDEN :] + r * g[:, 2 * gru.HIDDEN :])
+        step = (1 - z) * n + z * step
+        states.append(step)
+    assert np.allclose(last, step)
+    flat, what, seen = np.concatenate(states), ids[1:].reshape(-1), mask.reshape(-1)
+    logs = gru.log_probabilities(weights, flat, what)
+    assert abs(results[0][0] + (logs * seen).sum() / seen.sum()) < 1e-9
+
+
+def test_large_logits_are_shifted():
+    x = np.array([[200.0, 0.0, -200.0]], np.float32)
+    share = np.array([0.5], np.float32)
+    weights = np.full((1, gru.HIDDEN), 10.0, np.float32)
+    assert not gru._bounded(weights, np.zeros(1, np.float32))
+    assert gru._bounded(weights / 10, np.zeros(1, np.float32))
+    assert gru._log_at(x, np.array([1]), False, share) == -200
+    assert np.allclose(x, [[0.5, -0.5, 0]])
+
+
+def test_a_window_takes_each_exponential_once(monkeypatch):
+    random, taken, exp = np.random.default_rng(0), [], np.exp
+    weights = gru.initial(np.ones(gru.HEAD), np.ones(gru.TAILS))
+    ids = random.integers(0, gru.HEAD + gru.TAILS, (17, 64))
+    monkeypatch.setattr(np, "exp", lambda x, **k: taken.append(np.size(x)) or exp(x, **k))
+    gru.gradients(weights, ids[:-1], ids[1:], np.ones((16, 64), np.float32), np.zeros((64, gru.HIDDEN)))
+    heads = int((ids[1:] < gru.HEAD).sum())
+    assert sum(taken) == 16 * 64 * (gru.CLASSES + gru.TAILS) + heads * gru.CLASS_WORDS
+    assert len(taken) == 2  # however many classes occur
+
+
+def test_most_frequent_words(spark, monkeypatch):
+    monkeypatch.setattr(gru, "HEAD", 2)
+    counted = spark.createDataFrame(
+        [(bytearray(w), n) for w, n in ((b"a", 9), (b"b", 5), (b"\xff", 5), (b"c", 5), (b"d", 1), (b"", 1))],
+        "word binary, n long",
+    ).repartition(4)
+    words = lambda: [bytes(r.word) for r in gru._most_frequent(counted)]
+    for most, want in (
+        (9, [b"a", b"b", b"c", b"\xff", b"", b"d"]),
+        (5, [b"a", b"b", b"c", b"\xff"]),  # one more would part the words of count 1
+        (3, [b"a", b"b"]),  # the head words
+    ):
+        monkeypatch.setattr(gru, "FREQUENT", most)
+        assert words() == want
+    assert gru._most_frequent(counted.limit(0)) == []
+
+
+def test_weights_of_tasks_are_averaged_by_tokens(spark, monkeypatch):
+    def lengths(w, runs, rate):  # the mean length of a token's run
+        seen = sum(len(r) - 1 for r in runs)
+        mean = sum(len(r) * (len(r) - 1) for r in runs) / seen
+        return {k: np.full_like(x, mean) for k, x in w.items()}, seen
+
+    monkeypatch.setattr(gru, "train", lengths)
+    weights = gru.initial(np.ones(gru.HEAD), np.ones(gru.TAILS))
+    sizes = [3, 5, 9, 17]
+    rows = [(bytearray(np.arange(n).astype("<u2").tobytes()),) for n in sizes]
+    runs = spark.createDataFrame(rows, "run binary").repartition(1)
+    out = gru._round(runs, 4, weights, 0.1)
+    assert {k: v.shape for k, v in out.items()} == {k: v.shape for k, v in weights.items()}
+    want = sum(n * (n - 1) for n in sizes) / sum(n - 1 for n in sizes)
+    assert all(v.dtype == np.float32 and np.allclose(v, want) for v in out.values())
+
+
 def test_training_takes_every_token(spark, awkward, monkeypatch):
     seen = []
     monkeypatch.setattr(gru, "_round", lambda runs, tasks, w, rate: seen.append(runs.collect()) or w)
