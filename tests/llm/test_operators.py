@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -469,6 +470,40 @@ def test_training_takes_every_token(spark, awkward, monkeypatch):
     assert found == want
 
 
+def test_texts_are_looked_up_once(spark, awkward, monkeypatch):
+    seen, inner = [], type(awkward).mapInPandas
+
+    def watched(df, *args, **kwargs):
+        seen.append(df.columns)
+        return inner(df, *args, **kwargs)
+
+    monkeypatch.setattr(type(awkward), "mapInPandas", watched)
+    assert gru.scores(awkward).count() == awkward.count()
+    assert sum("text" in columns for columns in seen) == 2  # to count words, to look them up
+
+
+def test_runs_overlap_by_one_symbol(spark):
+    longest = gru.RUN_WINDOWS * gru.WINDOW
+    lists = [np.arange(n + 1) % 1000 for n in (1, longest - 1, longest, longest + 1, 2 * longest + 500)]
+    rows = [(len(x) - 1, bytearray(x.astype("<u2").tobytes())) for x in lists]
+    runs = gru._runs(spark.createDataFrame(rows, "n_tokens long, symbols binary")).collect()
+    want = [x[at : at + longest + 1].tolist() for x in lists for at in range(0, len(x) - 1, longest)]
+    got = [np.frombuffer(r.run, "<u2").tolist() for r in runs]
+    assert sorted(got) == sorted(want) and [r.n for r in runs] == [len(x) - 1 for x in got]
+
+
+def test_a_window_takes_little_memory():
+    random = np.random.default_rng(0)
+    weights = gru.initial(np.ones(gru.HEAD), np.ones(gru.TAILS))
+    ids = random.integers(0, gru.HEAD + gru.TAILS, (gru.WINDOW + 1, gru.BATCH))
+    mask, h = np.ones((gru.WINDOW, gru.BATCH), np.float32), np.zeros((gru.BATCH, gru.HIDDEN), np.float32)
+    tracemalloc.start()
+    gru.gradients(weights, ids[:-1], ids[1:], mask, h)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5e6  # beyond a core's cache a step waits for its arrays
+
+
 def test_runs_of_any_length_are_trained_whole(monkeypatch):
     monkeypatch.setattr(gru, "BATCH", 2)
     random, inner, seen = np.random.default_rng(0), gru.gradients, []
