@@ -10,6 +10,7 @@ from millrace.operators.bronze import typed_trips, with_row_numbers
 from millrace.operators.schema_check import payload_drift
 from millrace.operators.silver import silver_filter
 from millrace.schemas import TRIP_CONTRACT, TRIP_NAMES
+from millrace.sinks import manifest, tables
 from millrace.sources.landing import scan_csv, scan_texts
 from millrace.streaming import jobs
 
@@ -163,3 +164,67 @@ def test_drift_reads_payloads_once(spark, folder):
     found = {(r.column_name, r.finding): r.payloads for r in drift.collect()}
     assert found[("fare_amount", "mismatch")] == 1 and found[("fare_amount", "missing")] == 9
     assert found[("x", "unexpected")] == 1 and found[("extra", "missing")] == 10
+
+
+def test_a_merge_shuffles_keys_and_reads_few_rows_whole(spark, folder, monkeypatch):
+    """Rows of old keys, of keys beyond the table and without one, hot ones among them: no whole row
+    moves where few keys between are new, and the result is the same where many are."""
+    even = spark.range(0, 4000, 2, 3).selectExpr("id AS k", "0L AS n", "repeat('x', 50) AS t")
+    new = spark.range(0, 9000, 1, 5).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 3 = 0 THEN 77 WHEN id % 3 = 1 THEN id * 2 ELSE id + 3000 END AS k",
+        "id AS n", "repeat('y', 50) AS t",
+    )
+    want = sorted(r.n for r in new.join(even, "k", "left_anti").select("n").collect())
+    monkeypatch.setattr(skew, "ROWS_PER_LANE", 100)
+    for sent in (100_000, 10):
+        monkeypatch.setattr(skew, "SENT_KEYS", sent)
+        tables.merge_insert_only(even, f"{folder}/{sent}", "a", ["k"])
+        plans, commit = [], tables._commit_load
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_commit_load", lambda rows, *a: plans.append(plan(rows)) or commit(rows, *a))
+            tables.merge_insert_only(new, f"{folder}/{sent}", "b", ["k"], persist_source=False)
+        got = tables.read_merged(spark, f"{folder}/{sent}", "b")
+        assert sorted(r.n for r in got.collect()) == want and len(want) > 3000
+        assert ("Exchange hashpartitioning" in plans[0]) == (sent == 10)
+
+
+def test_one_load_is_not_written_twice(spark, folder):
+    """A load from many tasks is written in few files, and so gives no cause for a rewrite."""
+    wide = spark.range(0, 10_000, 1, 2 * tables.SMALL_FILES).selectExpr("id AS k", "id AS n")
+    for name, rows in (("a", wide), ("b", wide.selectExpr("k + 5000 AS k", "n"))):
+        tables.merge_insert_only(rows, f"{folder}/t", name, ["k"], persist_source=False)
+        live = manifest.newest(spark, f"{folder}/t")
+        assert live.files.where("rows > 0").count() <= tables.SMALL_FILES
+    assert live.number == 2 and tables.read_merged(spark, f"{folder}/t").count() == 15_000
+
+
+def test_a_streamed_merge_holds_no_rows_on_the_executors(spark, folder, monkeypatch):
+    """Beyond a bounded number of rows nothing is persisted, and rows are read again instead."""
+    kept, persist = [], type(spark.range(0)).persist
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *a: kept.append(df.columns) or persist(df, *a))
+    monkeypatch.setattr(tables, "KEPT_ROWS", 99)
+    for name, first in (("a", 0), ("b", 50)):
+        rows = spark.range(first, first + 100).selectExpr("id AS k", "id AS n")
+        tables.merge_insert_only(rows, f"{folder}/t", name, ["k"])
+    assert tables.read_merged(spark, f"{folder}/t").count() == 150
+    assert ["k", "n"] not in kept
+
+
+def test_files_go_when_bronze_has_their_rows(spark, folder):
+    def land(low, high):
+        rows = spark.range(low, high, 1, 2).selectExpr(*[f"id AS {n}" for n in TRIP_NAMES])
+        rows.write.mode("append").option("header", True).option("compression", "gzip").csv(f"{folder}/in dir")
+
+    def take():
+        scan = jobs.landing_stream(spark, f"{folder}/in dir", "CSV", columns=TRIP_NAMES, files_per_batch=1)
+        jobs.finish(jobs.stream_to_bronze(scan, "CSV", f"{folder}/bronze", f"{folder}/state", as_of=CLOCK))
+
+    assert jobs.drop_taken(spark, f"{folder}/state") == 0
+    land(0, 10)
+    take()
+    land(10, 30)  # not taken yet
+    assert jobs.drop_taken(spark, f"{folder}/state") == 2
+    assert spark.read.option("header", True).csv(f"{folder}/in dir").count() == 20
+    take()
+    assert jobs.drop_taken(spark, f"{folder}/state") == 2
+    assert spark.read.parquet(f"{folder}/bronze").select("file_name", "file_row_number").distinct().count() == 30
