@@ -1,10 +1,12 @@
 """Steps whose cost must not outgrow their input: what is shuffled, sorted or read twice."""
 
+import glob
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from millrace.catalogue import CATALOGUE, inputs
+from millrace.catalogue import CATALOGUE, inputs, streams
 from millrace.operators import bloom, skew
 from millrace.operators.bronze import typed_trips, with_row_numbers
 from millrace.operators.schema_check import payload_drift
@@ -228,3 +230,14 @@ def test_files_go_when_bronze_has_their_rows(spark, folder):
     take()
     assert jobs.drop_taken(spark, f"{folder}/state") == 2
     assert spark.read.parquet(f"{folder}/bronze").select("file_name", "file_row_number").distinct().count() == 30
+
+
+def test_the_chain_keeps_no_delivery_and_no_second_table(spark, folder, monkeypatch):
+    """What the chain leaves on disk is bronze, silver, results and exports."""
+    made = []
+    monkeypatch.setattr(streams, "scratch_path", lambda _, name: made.append(f"{folder}/{name}") or made[-1])
+    monkeypatch.setattr(inputs, "landed", lambda _s, _d, kind: pytest.fail(f"{kind} was written"))
+    assert CATALOGUE["task_chain"].run(spark, DATA).count() == 7
+    assert not glob.glob(f"{folder}/chain/in/*.csv*")
+    bronze = spark.read.parquet(f"{folder}/chain/bronze")
+    assert bronze.count() == inputs.table(spark, DATA, "lineitem").count()
