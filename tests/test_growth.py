@@ -1,6 +1,7 @@
 """Steps whose cost must not outgrow their input: what is shuffled, sorted or read twice."""
 
 import glob
+import os
 import re
 
 import pytest
@@ -8,12 +9,13 @@ from pyspark.sql import functions as F
 
 from millrace.catalogue import CATALOGUE, inputs, streams
 from millrace.operators import bloom, skew
-from millrace.operators.bronze import typed_trips, with_row_numbers
+from millrace.operators.bronze import bronze_rows, typed_trips, with_row_numbers
 from millrace.operators.schema_check import payload_drift
 from millrace.operators.silver import silver_filter
 from millrace.schemas import TRIP_CONTRACT, TRIP_NAMES
 from millrace.sinks import manifest, tables
-from millrace.sources.landing import scan_csv, scan_texts
+from millrace.sources import landing
+from millrace.sources.landing import rejected_texts, scan_csv, scan_json, scan_texts
 from millrace.streaming import jobs
 
 DATA = "/root/testdata/sf0.001"
@@ -241,3 +243,39 @@ def test_the_chain_keeps_no_delivery_and_no_second_table(spark, folder, monkeypa
     assert not glob.glob(f"{folder}/chain/in/*.csv*")
     bronze = spark.read.parquet(f"{folder}/chain/bronze")
     assert bronze.count() == inputs.table(spark, DATA, "lineitem").count()
+
+
+def test_large_files_of_json_lines_are_read_in_splits(spark, folder, monkeypatch):
+    """With the rows, row numbers and rejects that a whole reading gives; documents stay whole."""
+    line = '[{"a": 1, "b": "%s"}, {"a": 2}]' % ("x" * 40)
+    texts = {
+        "lines [1] b%20.json": "﻿\n \r\n" + "\n".join([line] * 200 + ["{broken", "7", " ", '{"a": 3}\r']),
+        "document.json": "[\n" + ",\n".join(['{"a": 4}'] * 300) + "\n]\n",
+        "one.json": "[" + ", ".join(['{"a": 5}'] * 300) + "]\n\n",
+        "broken.json": '{"a": 6}, {"a": 7}\n' + line * 50,
+        "blank.json": " \n" * 900,
+        "small.json": '{"a": 8}\n{"a": 9}\n',
+    }
+    os.makedirs(f"{folder}/in")
+    for name, text in texts.items():
+        with open(f"{folder}/in/{name}", "w", newline="") as f:
+            f.write(text)
+
+    def found():
+        rows = scan_json(spark, f"{folder}/in", strip_outer_array=True, skip_malformed=False)
+        bronze = bronze_rows(rows, "JSON", CLOCK).selectExpr("file_name", "file_row_number", "to_json(raw_data) AS j")
+        bad = rejected_texts(spark, f"{folder}/in", strip_outer_array=True)
+        return sorted(map(str, bronze.collect())), sorted(map(str, bad.collect())), rows
+
+    whole = found()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        monkeypatch.setattr(landing, "WHOLE_BYTES", 1000)
+        split = found()
+        assert split[0] == whole[0] and split[1] == whole[1] and len(whole[0]) > 1000 and len(whole[1]) > 3
+        spread = split[2].where("file_name LIKE 'lines%'").select(F.spark_partition_id()).distinct().count()
+        assert spread > 3
+        by_line, others = landing.large_line_files(spark, f"{folder}/in")
+        assert len(by_line) + len(others) == len(texts) and len(by_line) == 2  # lines, and one
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
